@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import language
+from quire.llm import language, neardup
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +32,17 @@ def p1_segments(spark, d):
     return language.identify(docs, language.fit(docs)).select("doc_id", F.posexplode("segments").alias("segment_no", "s")).select("doc_id", "segment_no", "s.start", "s.stop", "s.language", F.round("s.score", 6).alias("score"), "s.words")
 
 
+def p4_found(spark, d):
+    return neardup.pairs(_docs(spark, d), 3, 0.7)
+
+
+def p4_groups(spark, d):
+    return neardup.groups(_docs(spark, d), 5, 0.8)
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
+    "p4_found": p4_found, "p4_groups": p4_groups,
 }
 
 SQL: dict[str, str] = {}
