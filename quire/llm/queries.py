@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import language, neardup
+from quire.llm import cutoff, language, neardup
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +40,34 @@ def p4_groups(spark, d):
     return neardup.groups(_docs(spark, d), 5, 0.8)
 
 
+def p6_found(spark, d):
+    return cutoff.kept(_docs(spark, d), table(spark, d, "keep_targets"))
+
+
+def p6_cutoffs(spark, d):
+    return cutoff.cutoffs(_docs(spark, d), table(spark, d, "keep_targets"))
+
+
+def p6_report(spark, d):
+    return cutoff.report(_docs(spark, d), table(spark, d, "keep_targets"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
     "p4_found": p4_found, "p4_groups": p4_groups,
+    "p6_found": p6_found, "p6_cutoffs": p6_cutoffs, "p6_report": p6_report,
 }
 
-SQL: dict[str, str] = {}
+_P6 = """WITH scored AS (SELECT source, doc_id, lang, score FROM documents WHERE score IS NOT NULL),
+want AS (SELECT source, max(keep_pct) AS keep_pct FROM keep_targets WHERE source IS NOT NULL AND keep_pct IS NOT NULL GROUP BY source),
+sized AS (SELECT w.source, w.keep_pct, count(s.doc_id) AS records FROM want w LEFT JOIN scored s ON s.source = w.source GROUP BY w.source, w.keep_pct),
+ranks AS (SELECT source, keep_pct, records, CAST((least(keep_pct, 100) * records + 99) // 100 AS BIGINT) AS "rank" FROM sized),
+ordered AS (SELECT source, score, row_number() OVER (PARTITION BY source ORDER BY score DESC) AS rn FROM scored),
+cut AS (SELECT r.source, r.keep_pct, r.records, o.score AS cutoff, r."rank" FROM ranks r LEFT JOIN ordered o ON o.source = r.source AND o.rn = r."rank")
+"""
+
+SQL: dict[str, str] = {
+    "p6_found": _P6 + "SELECT s.source, s.doc_id FROM scored s JOIN cut c ON c.source = s.source WHERE s.score >= c.cutoff",
+    "p6_cutoffs": _P6 + 'SELECT source, keep_pct, records, cutoff, "rank" FROM cut',
+    "p6_report": _P6 + "SELECT c.source, s.lang, c.keep_pct, c.cutoff, count(s.doc_id) AS records, count(CASE WHEN s.score >= c.cutoff THEN 1 END) AS kept FROM cut c LEFT JOIN scored s ON s.source = c.source GROUP BY c.source, s.lang, c.keep_pct, c.cutoff",
+}
