@@ -18,7 +18,7 @@ from quire.llm.text import MIX, char_tables, codes, groups_by_size, has_text, ma
 from quire.session import written
 
 BANDS, ROWS = 48, 5
-SMALL = 32  # texts in a region that is paired directly
+SMALL = 200  # texts in a region that is paired directly
 CELL = 200  # texts in a cell that one task joins
 PIVOTS = 12
 
@@ -46,8 +46,9 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return (r.integers(0, 1 << 32, n, dtype=np.uint64) | np.uint64(1)).astype(np.uint32), r.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32)
 
 
-def bands(sets: list[np.ndarray]) -> np.ndarray:
-    """Region keys of each set: for each of BANDS, a hash of the first shingles under ROWS random orders."""
+def bands(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Region keys of each set: for each of BANDS, a hash of the first shingles under ROWS random orders; and one bit of
+    each of these first shingles, as four longs, from which a pair's similarity is estimated before its sets are read."""
     n = np.array([len(s) for s in sets])
     h = np.concatenate(sets)
     h = (h >> np.uint64(32)).astype(np.uint32)
@@ -61,11 +62,21 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
         for j in range(ROWS):
             keys = mix(keys * MIX + low[j::ROWS] + np.uint64(j + 1))
         keys = mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * MIX)
-    return keys.T.view(np.int64)
+    bits = np.zeros((256, len(sets)), dtype=np.uint8)
+    bits[: len(a)] = (low >> np.uint64(7)) & np.uint64(1)
+    return keys.T.view(np.int64), np.ascontiguousarray(np.packbits(bits, axis=0).T).view(np.int64)
+
+
+def _may_be(x: str, y: str, least: float):
+    """Whether two sketches agree in so many bits that their sets may be similar: 5.5 deviations below what is expected
+    at the threshold, which loses fewer than one in ten million pairs that lie exactly on it."""
+    n, p = BANDS * ROWS, (1 + least) / 2
+    most = int(n - (n * p - 5.5 * (n * p * (1 - p)) ** 0.5))
+    return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(4)), F.lit(0)) <= most
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, set_id, keys): the size of the shingle set, its identity, its region keys. Texts without a word are left out."""
+    """(doc_id, n, set_id, keys, bits): the size of the shingle set, its identity, region keys and sketch. Texts without a word are left out."""
 
     def run(cols):
         ids, texts = cols["doc_id"].to_pylist(), cols["text"]
@@ -77,9 +88,10 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
             sets = [sets[i] for i in keep]
             with np.errstate(over="ignore"):
                 total = np.array([mix(s).sum(dtype=np.uint64) for s in sets])
-            yield {"doc_id": [ids[a + i] for i in keep], "n": [len(s) for s in sets], "set_id": mix(total).view(np.int64), "keys": list(bands(sets))}
+            keys, bits = bands(sets)
+            yield {"doc_id": [ids[a + i] for i in keep], "n": [len(s) for s in sets], "set_id": mix(total).view(np.int64), "keys": list(keys), "bits": list(bits)}
 
-    return map_columns(spread(docs.where(has_text()).select("doc_id", "text")), run, "doc_id bigint, n int, set_id bigint, keys array<bigint>")
+    return map_columns(spread(docs.where(has_text()).select("doc_id", "text")), run, "doc_id bigint, n int, set_id bigint, keys array<bigint>, bits array<bigint>")
 
 
 def set_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -233,13 +245,15 @@ def links(docs: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame]:
     reps = sig.groupBy("set_id", "n").agg(F.min("doc_id").alias("rep"))
     members = written(sig.select("doc_id", "set_id", "n").join(reps, ["set_id", "n"]).select("doc_id", "rep").distinct())
     alone = members.where(F.col("doc_id") == F.col("rep")).select("doc_id")
-    regions = sig.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", F.explode("keys").alias("region"))
+    alone = written(sig.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    regions = alone.select("doc_id", F.explode("keys").alias("region"))
     regions = regions.repartition(F.col("region"))
     sizes = regions.groupBy("region").agg(F.count("*").alias("m"), F.sum(F.xxhash64("doc_id") % F.lit(1 << 40)).alias("who"))
     shared = written(regions.join(sizes.where(F.col("m") > 1), "region"))
-    small = shared.where(F.col("m") <= SMALL)
-    x, y = small.select("region", F.col("doc_id").alias("a"), F.col("n").alias("na")), small.select("region", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    pairs = x.join(y, "region").where((F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * least) & (F.col("nb") >= F.col("na") * least))
+    small = written(shared.where(F.col("m") <= SMALL).select("region", "doc_id").join(alone.select("doc_id", "n", "bits"), "doc_id"))
+    x, y = (small.select("region", F.col("doc_id").alias(i), F.col("n").alias(f"n{i}"), F.col("bits").alias(f"s{i}")) for i in "ab")
+    near = (F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * least) & (F.col("nb") >= F.col("na") * least) & _may_be("sa", "sb", least)
+    pairs = x.join(y, "region").where(near)
     pairs = written(pairs.select("a", "b").distinct())
     # large regions: one of those with the same members is enough
     big = written(shared.where(F.col("m") > SMALL).groupBy("m", "who").agg(F.min("region").alias("region")))
