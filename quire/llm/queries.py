@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import cutoff, language, neardup
+from quire.llm import cutoff, language, leak, neardup
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,10 +52,19 @@ def p6_report(spark, d):
     return cutoff.report(_docs(spark, d), table(spark, d, "keep_targets"))
 
 
+def p7_found(spark, d):
+    return leak.found(_docs(spark, d), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p7_report(spark, d):
+    return leak.report(_docs(spark, d), table(spark, d, "eval_items"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
     "p4_found": p4_found, "p4_groups": p4_groups,
     "p6_found": p6_found, "p6_cutoffs": p6_cutoffs, "p6_report": p6_report,
+    "p7_found": p7_found, "p7_report": p7_report,
 }
 
 _P6 = """WITH scored AS (SELECT source, doc_id, lang, score FROM documents WHERE score IS NOT NULL),
