@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import cutoff, language, leak, neardup
+from quire.llm import cutoff, language, leak, neardup, scan
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,11 +60,19 @@ def p7_report(spark, d):
     return leak.report(_docs(spark, d), table(spark, d, "eval_items"))
 
 
+def p5_found(spark, d):
+    return scan.found(_docs(spark, d))
+
+
+def p5_repaired(spark, d):
+    return scan.examine(_docs(spark, d), with_text=True)
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
     "p4_found": p4_found, "p4_groups": p4_groups,
     "p6_found": p6_found, "p6_cutoffs": p6_cutoffs, "p6_report": p6_report,
-    "p7_found": p7_found, "p7_report": p7_report,
+    "p5_found": p5_found, "p5_repaired": p5_repaired, "p7_found": p7_found, "p7_report": p7_report,
 }
 
 _P6 = """WITH scored AS (SELECT source, doc_id, lang, score FROM documents WHERE score IS NOT NULL),
