@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import cutoff, language, leak, neardup, scan
+from quire.llm import abuse, cutoff, language, leak, neardup, scan
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,11 +68,25 @@ def p5_repaired(spark, d):
     return scan.examine(_docs(spark, d), with_text=True)
 
 
+def p10_found(spark, d):
+    return abuse.found(_docs(spark, d), table(spark, d, "teacher_labels"))
+
+
+def p10_documents(spark, d):
+    docs = _docs(spark, d)
+    return abuse.score(docs, abuse.fit(docs, table(spark, d, "teacher_labels"))).select("doc_id", F.round("score", 6).alias("score"), F.size("sentences").alias("offending_sentences"))
+
+
+def p10_rates(spark, d):
+    return abuse.rates(_docs(spark, d), table(spark, d, "teacher_labels"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
     "p4_found": p4_found, "p4_groups": p4_groups,
     "p6_found": p6_found, "p6_cutoffs": p6_cutoffs, "p6_report": p6_report,
     "p5_found": p5_found, "p5_repaired": p5_repaired, "p7_found": p7_found, "p7_report": p7_report,
+    "p10_found": p10_found, "p10_documents": p10_documents, "p10_rates": p10_rates,
 }
 
 _P6 = """WITH scored AS (SELECT source, doc_id, lang, score FROM documents WHERE score IS NOT NULL),
