@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import abuse, cutoff, language, leak, neardup, scan
+from quire.llm import abuse, cutoff, language, leak, neardup, reading, scan
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,8 +81,17 @@ def p10_rates(spark, d):
     return abuse.rates(_docs(spark, d), table(spark, d, "teacher_labels"))
 
 
+def p3_found(spark, d):
+    return reading.found(_docs(spark, d))
+
+
+def p3_profile(spark, d):
+    return reading.profile(_docs(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
+    "p3_found": p3_found, "p3_profile": p3_profile,
     "p4_found": p4_found, "p4_groups": p4_groups,
     "p6_found": p6_found, "p6_cutoffs": p6_cutoffs, "p6_report": p6_report,
     "p5_found": p5_found, "p5_repaired": p5_repaired, "p7_found": p7_found, "p7_report": p7_report,
