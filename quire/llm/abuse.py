@@ -100,27 +100,37 @@ def train(rows: list[tuple[int, str]], rounds: int = 300, rate: float = 0.5, pen
     """
     rows = [(y, t) for y, t in rows if t]
     y = np.array([r[0] for r in rows], dtype=np.float64)
-    feats, owners, docs_, n_sent = [], [], [], 0
-    for lo, hi in groups_by_size([t for _, t in rows], 2_000_000):
-        f, o, d, _, _ = sentences([t for _, t in rows[lo:hi]])
-        feats.append(f)
-        owners.append(o + n_sent)
-        docs_.append(d + lo)
-        n_sent += len(d)
-    if not rows or not y.any() or not n_sent:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, bool), -20.0)
-    f, o, doc = np.concatenate(feats), np.concatenate(owners), np.concatenate(docs_)
-    pos_bag = y[doc[o]] > 0
-    # bags with each feature that some positive bag has
-    cand = np.unique(f[pos_bag])
-    at = np.searchsorted(cand, f)
-    at[at == len(cand)] = 0
-    hit = cand[at] == f
-    fi, oi = at[hit], o[hit]
-    bag = np.unique(fi.astype(np.int64) * len(y) + doc[oi])
-    bf, by = bag // len(y), y[bag % len(y)]
-    dfp = np.bincount(bf, weights=by, minlength=len(cand))
-    dfn = np.bincount(bf, weights=1 - by, minlength=len(cand))
+    texts = [t for _, t in rows]
+
+    def parts():
+        for lo, hi in groups_by_size(texts, 500_000):
+            f, o, d, _, _ = sentences(texts[lo:hi])
+            yield f, o, d + lo
+
+    none = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, bool), -20.0)
+    if not rows or not y.any():
+        return none
+    # features that some positive bag has; the bags with each of them; group by group, so that memory stays small
+    cand = np.zeros(0, np.uint64)
+    for f, o, d in parts():
+        if len(f):
+            cand = np.union1d(cand, f[y[d[o]] > 0])
+    if not len(cand):
+        return none
+    dfp, dfn = np.zeros(len(cand)), np.zeros(len(cand))
+
+    def place(f: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(among, f)
+        at[at == len(among)] = 0
+        hit = among[at] == f
+        return at[hit], hit
+
+    for f, o, d in parts():
+        fi, hit = place(f, cand)
+        bag = np.unique(fi.astype(np.int64) * len(y) + d[o[hit]])
+        bf, by = bag // len(y), y[bag % len(y)]
+        dfp += np.bincount(bf, weights=by, minlength=len(cand))
+        dfn += np.bincount(bf, weights=1 - by, minlength=len(cand))
     P, N = y.sum(), len(y) - y.sum()
     # likelihood ratio of a feature's bags against the share of positive bags; chance alone seldom gives SURE
     share = P / (P + N)
@@ -128,22 +138,32 @@ def train(rows: list[tuple[int, str]], rounds: int = 300, rate: float = 0.5, pen
         n = dfp + dfn
         ratio = 2 * (np.where(dfp > 0, dfp * np.log(dfp / (n * share)), 0) + np.where(dfn > 0, dfn * np.log(dfn / (n * (1 - share))), 0))
     seeds = (dfp >= 3) & (dfp > 2 * n * share) & (dfp >= 0.3 * n) & (ratio >= SURE)
-    sf, so = fi[seeds[fi]], oi[seeds[fi]]
-    several = np.bincount(np.unique(so.astype(np.int64) * len(cand) + sf) // len(cand), minlength=n_sent)
-    marked = several >= SEVERAL  # abuse is told by several words of a sentence together
-    beside = np.bincount(fi[marked[oi]], minlength=len(cand)) >= 3
+    if not seeds.any():
+        return none
+    fs, os_, sdoc = [], [], []
+    total = 0
+    for f, o, d in parts():
+        fi, hit = place(f, cand)
+        oi = o[hit]
+        pairs = np.unique(oi.astype(np.int64) * len(cand) + fi)
+        oi, fi = pairs // len(cand), pairs % len(cand)
+        several = np.bincount(oi, weights=seeds[fi], minlength=len(d))
+        marked = np.flatnonzero(several >= SEVERAL)  # abuse is told by several words of a sentence together
+        index = np.full(len(d), -1)
+        index[marked] = np.arange(len(marked)) + total
+        use = index[oi] >= 0
+        fs.append(fi[use])
+        os_.append(index[oi[use]])
+        sdoc.append(d[marked])
+        total += len(marked)
+    fi, oi, sdoc = np.concatenate(fs), np.concatenate(os_), np.concatenate(sdoc)
+    beside = np.bincount(fi, minlength=len(cand)) >= 3
     chosen = np.flatnonzero(seeds | beside)
     index = np.full(len(cand), -1)
     index[chosen] = np.arange(len(chosen))
-    use = (index[fi] >= 0) & marked[oi]
+    use = index[fi] >= 0
     fi, oi = index[fi[use]], oi[use]
-    pairs = np.unique(oi.astype(np.int64) * max(1, len(chosen)) + fi)
-    oi, fi = pairs // max(1, len(chosen)), pairs % max(1, len(chosen))
-    live = np.flatnonzero(marked)
-    place = np.full(n_sent, -1)
-    place[live] = np.arange(len(live))
-    oi = place[oi]
-    sdoc = doc[live]
+    live = np.arange(total)
     w = np.zeros(len(chosen))
     m, v = np.zeros_like(w), np.zeros_like(w)
     other = ~seeds[chosen]

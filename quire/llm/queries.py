@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import abuse, cutoff, language, leak, neardup, reading, scan
+from quire.llm import abuse, cutoff, language, leak, mixing, neardup, packing, reading, scan, tokens
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,12 +89,39 @@ def p3_profile(spark, d):
     return reading.profile(_docs(spark, d))
 
 
+def p2_cube(spark, d):
+    return tokens.cube(_docs(spark, d))
+
+
+def p2_documents(spark, d):
+    return tokens.counted(_docs(spark, d))
+
+
+def p8_pack(spark, d):
+    return packing.assign(_docs(spark, d), table(spark, d, "pack_targets"))
+
+
+def p8_summary(spark, d):
+    t = table(spark, d, "pack_targets")
+    return packing.summary(packing.assign(_docs(spark, d), t), t)
+
+
+def p9_mix(spark, d):
+    return mixing.choose(_docs(spark, d), table(spark, d, "mix_targets"))[0]
+
+
+def p9_shares(spark, d):
+    return mixing.shares(_docs(spark, d), table(spark, d, "mix_targets"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p1_segments": p1_segments,
+    "p2_documents": p2_documents, "p2_cube": p2_cube,
     "p3_found": p3_found, "p3_profile": p3_profile,
     "p4_found": p4_found, "p4_groups": p4_groups,
     "p6_found": p6_found, "p6_cutoffs": p6_cutoffs, "p6_report": p6_report,
     "p5_found": p5_found, "p5_repaired": p5_repaired, "p7_found": p7_found, "p7_report": p7_report,
+    "p8_pack": p8_pack, "p8_summary": p8_summary, "p9_mix": p9_mix, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_documents": p10_documents, "p10_rates": p10_rates,
 }
 
