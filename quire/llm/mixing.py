@@ -32,7 +32,7 @@ def flight(p: list[float], size: list[float], rng: np.random.Generator, land: bo
     coin = rng.random(len(live) + 8).tolist()
     k = 0
 
-    def move(ids: list[int], u: list[float]) -> None:
+    def move(ids: list[int], u: list[float], out: bool = False) -> None:
         nonlocal k
         up = down = float("inf")
         for i, d in zip(ids, u):
@@ -40,7 +40,7 @@ def flight(p: list[float], size: list[float], rng: np.random.Generator, land: bo
                 up, down = min(up, (1 - p[i]) / d), min(down, p[i] / d)
             elif d < 0:
                 up, down = min(up, -p[i] / d), min(down, (p[i] - 1) / d)
-        step = up if coin[k % len(coin)] * (up + down) < down else -down
+        step = up if not out and coin[k % len(coin)] * (up + down) < down else -down
         k += 1
         for i, d in zip(ids, u):
             v = p[i] + step * d
@@ -61,7 +61,8 @@ def flight(p: list[float], size: list[float], rng: np.random.Generator, land: bo
     for i in [i for i in live if land and size[i] > 0.02 * total]:  # at most fifty: each moves against all others together
         rest = [j for j in live if j != i and 0.0 < p[j] < 1.0]
         if 0.0 < p[i] < 1.0 and rest and (s := sum(size[j] for j in rest)) > 0:
-            move([i, *rest], [1.0] + [-size[i] / s] * len(rest))
+            # a record larger than all that is wanted can only overshoot; its probability goes to the others
+            move([i, *rest], [1.0] + [-size[i] / s] * len(rest), size[i] > p[i] * size[i] + sum(p[j] * size[j] for j in rest))
     live = [i for i in live if 0.0 < p[i] < 1.0]
     n = len(live)
     large, held = (n // 4, min(n // 2, RESERVE)) if land else (0, 0)
