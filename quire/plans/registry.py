@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from quire.plans import corpus
+
+PARTS = (corpus,)
+QUERIES: dict = {k: v for p in PARTS for k, v in p.QUERIES.items()}
+SQL: dict[str, str] = {k: v for p in PARTS for k, v in p.SQL.items()}
