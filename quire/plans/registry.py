@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quire.plans import corpus
+from quire.plans import corpus, pages, structure
 
-PARTS = (corpus,)
+PARTS = (corpus, pages, structure)
 QUERIES: dict = {k: v for p in PARTS for k, v in p.QUERIES.items()}
 SQL: dict[str, str] = {k: v for p in PARTS for k, v in p.SQL.items()}
