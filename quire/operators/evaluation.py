@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import records as R
+from quire.operators.layout import BOX, grouped
 
 
 def token_overlap(a: Column, b: Column) -> Column:
@@ -79,30 +79,29 @@ def average_precision(truth: DataFrame, guess: DataFrame, levels: tuple[float, .
 
     truth (doc_id, page_no, id, label, box), guess with confidence. Matching runs for a page; curves are windows.
     """
-    hits_schema = "label string, confidence double, level double, hit int"
 
-    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def match(a, b) -> list[tuple]:
         out = []
-        for label, g in b.groupby("label"):
-            boxes = [r for r in a[a["label"] == label]["box"]] if len(a) else []
+        for label in {r["label"] for r in b or ()}:
+            boxes = [r["box"] for r in a or () if r["label"] == label]
+            own = sorted((r for r in b if r["label"] == label), key=lambda r: (-r["confidence"], r["id"]))
+            # each pair is measured once, for all levels
+            pairs = [[(_iou(r["box"], y), k) for k, y in enumerate(boxes)] for r in own]
+            pairs = [sorted((x for x in p if x[0] >= levels[0]), reverse=True) for p in pairs]
             for level in levels:
                 free = set(range(len(boxes)))
-                for r in g.sort_values(["confidence", "id"], ascending=[False, True]).itertuples():
-                    best, at = 0.0, None
-                    for k in free:
-                        x, y = r.box, boxes[k]
-                        s = max(min(x["r"], y["r"]) - max(x["l"], y["l"]), 0) * max(min(x["b"], y["b"]) - max(x["t"], y["t"]), 0)
-                        u = (x["r"] - x["l"]) * (x["b"] - x["t"]) + (y["r"] - y["l"]) * (y["b"] - y["t"]) - s
-                        if u > 0 and s / u > best:
-                            best, at = s / u, k
-                    ok = at is not None and best >= level
+                for r, p in zip(own, pairs):
+                    at = next((k for v, k in p if k in free), None)
+                    ok = at is not None and next(v for v, k in p if k == at) >= level
                     if ok:
                         free.discard(at)
-                    out.append((label, float(r.confidence), float(level), int(ok)))
-        return pd.DataFrame(out, columns=["label", "confidence", "level", "hit"])
+                    out.append((label, r["confidence"], level, int(ok)))
+        return out
 
-    t, g = truth.select("doc_id", "page_no", "id", "label", "box"), guess.select("doc_id", "page_no", "id", "label", "confidence", "box")
-    m = t.groupBy("doc_id", "page_no").cogroup(g.groupBy("doc_id", "page_no")).applyInPandas(match, hits_schema)
+    part = lambda df, *c: df.groupBy("doc_id", "page_no").agg(F.collect_list(F.struct("id", "label", *c, "box")).alias("c" if c else "t"))
+    u = F.udf(match, "array<struct<label:string,confidence:double,level:double,hit:int>>", useArrow=True)
+    pages = part(truth).join(part(guess, "confidence"), ["doc_id", "page_no"], "full")
+    m = pages.select(F.explode(u("t", "c")).alias("x")).select("x.*")
     m = m.groupBy("label", "level", "confidence").agg(F.sum("hit").alias("h"), F.count("*").alias("c"))
     n = truth.groupBy("label").agg(F.count("*").alias("n"))
     w = Window.partitionBy("label", "level").orderBy(F.desc("confidence")).rowsBetween(Window.unboundedPreceding, 0)
@@ -116,23 +115,22 @@ def average_precision(truth: DataFrame, guess: DataFrame, levels: tuple[float, .
 
 def suppress(boxes: DataFrame, least: float = 0.35, most_iou: float = 0.35) -> DataFrame:
     """Boxes of enough confidence that no surer box of their label and page overlaps (non-maximum suppression)."""
-    schema = boxes.schema
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(rows: list[dict]) -> list[dict]:
         keep: list = []
-        for r in pdf.sort_values(["confidence", "id"], ascending=[False, True]).to_dict("records"):
-            b = r["box"]
-            ok = True
-            for k in keep:
-                c = k["box"]
-                s = max(min(b["r"], c["r"]) - max(b["l"], c["l"]), 0) * max(min(b["b"], c["b"]) - max(b["t"], c["t"]), 0)
-                u = (b["r"] - b["l"]) * (b["b"] - b["t"]) + (c["r"] - c["l"]) * (c["b"] - c["t"]) - s
-                ok &= not (u > 0 and s / u > most_iou)
-            if ok:
+        for r in sorted(rows, key=lambda r: (-r["confidence"], r["id"])):
+            if all(_iou(r["box"], k["box"]) <= most_iou for k in keep):
                 keep.append(r)
-        return pd.DataFrame(keep, columns=pdf.columns)
+        return keep
 
-    return boxes.where(F.col("confidence") >= least).groupBy("doc_id", "page_no", "label").applyInPandas(one, schema)
+    sure = boxes.where(F.col("confidence") >= least).select("doc_id", "page_no", "label", "id", "confidence", "box")
+    return grouped(sure, ["doc_id", "page_no", "label"], one, f"id:bigint,confidence:double,box:{BOX}")
+
+
+def _iou(a, b) -> float:
+    s = max(min(a["r"], b["r"]) - max(a["l"], b["l"]), 0) * max(min(a["b"], b["b"]) - max(a["t"], b["t"]), 0)
+    u = (a["r"] - a["l"]) * (a["b"] - a["t"]) + (b["r"] - b["l"]) * (b["b"] - b["t"]) - s
+    return s / u if u > 0 else 0.0
 
 
 Node = tuple[str, list]

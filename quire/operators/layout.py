@@ -7,13 +7,21 @@ document runs in one group of that page or document, which a page bounds.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import records as R
 
 PAGE = ["doc_id", "page_no"]
+BOX = "struct<l:double,t:double,r:double,b:double>"
+
+
+def grouped(df: DataFrame, keys: list[str], fn, fields: str) -> DataFrame:
+    """fn over the rows of each group, which a page or a document bounds: groups become arrays, arrays go through Arrow."""
+    rest = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("g"))
+    u = F.udf(lambda g: fn([r.asDict() for r in g]), f"array<struct<{fields}>>", useArrow=True)
+    return g.select(*keys, F.explode(u("g")).alias("x")).select(*keys, "x.*")
 # Least confidence by label
 LEAST = {"list_item": 0.5, "formula": 0.5, "section_header": 0.45, "title": 0.45, "code": 0.45, "table": 0.5, "picture": 0.5}
 
@@ -57,10 +65,8 @@ def inside(clusters: DataFrame, least: float = 0.8) -> DataFrame:
 
 def without_overlaps(clusters: DataFrame, most: float = 0.8) -> DataFrame:
     """One cluster of each group that overlap by IoU or containment: list items before texts, then confidence, area, id."""
-    schema = clusters.select(*PAGE, "cluster", "label", "confidence", "box").schema
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.to_dict("records")
+    def one(rows: list[dict]) -> list[dict]:
         root = list(range(len(rows)))
 
         def find(i: int) -> int:
@@ -88,9 +94,9 @@ def without_overlaps(clusters: DataFrame, most: float = 0.8) -> DataFrame:
             k = find(i)
             if k not in best or key < best[k][0]:
                 best[k] = (key, r)
-        return pd.DataFrame([v for _, v in best.values()], columns=[f.name for f in schema])
+        return [v for _, v in best.values()]
 
-    return clusters.select(schema.names).groupBy(*PAGE).applyInPandas(one, schema)
+    return grouped(clusters.select(*PAGE, "cluster", "label", "confidence", "box"), PAGE, one, f"cluster:bigint,label:string,confidence:double,box:{BOX}")
 
 
 def in_order(clusters: DataFrame, assigned: DataFrame, how: str = "cells") -> DataFrame:
@@ -110,8 +116,8 @@ def reading_order(items: DataFrame) -> DataFrame:
     all above it are taken.
     """
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("item").to_dict("records")
+    def one(rows: list[dict]) -> list[dict]:
+        rows.sort(key=lambda r: r["item"])
         part = {"page_header": 0, "page_footer": 2}
         out: list[int] = []
         for zone in (0, 1, 2):
@@ -146,10 +152,9 @@ def reading_order(items: DataFrame) -> DataFrame:
                     out.append(z[i]["item"])
                     stack.extend(reversed(down[i]))
             out.extend(z[i]["item"] for i in sorted(set(range(n)) - done, key=lambda i: (box[i]["t"], box[i]["l"])))
-        k = rows[0]
-        return pd.DataFrame({"doc_id": k["doc_id"], "page_no": k["page_no"], "item": out, "position": range(1, len(out) + 1)})
+        return [{"item": x, "position": i} for i, x in enumerate(out, 1)]
 
-    return items.select(*PAGE, "item", "label", "box").groupBy(*PAGE).applyInPandas(one, "doc_id bigint, page_no int, item bigint, position int")
+    return grouped(items.select(*PAGE, "item", "label", "box"), PAGE, one, "item:bigint,position:int")
 
 
 def captions(items: DataFrame, parts: tuple[str, ...] = ("table", "picture", "code")) -> DataFrame:
@@ -181,12 +186,10 @@ def merge_cells(cells: DataFrame, same_line: float = 0.8, gap: float = 6, punctu
     Lines overlap by `same_line` of the lower height; the gap, in mean character widths, is under `gap`, or under
     `punctuation_gap` before a punctuation sign; a gap over `space` leaves a blank.
     """
-    schema = "doc_id bigint, page_no int, cell bigint, label string, text string, box struct<l:double,t:double,r:double,b:double>"
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(rows: list[dict]) -> list[dict]:
         out: list[dict] = []
-        for r in pdf.sort_values("cell").to_dict("records"):
-            r["box"] = dict(r["box"].asDict() if hasattr(r["box"], "asDict") else r["box"])
+        for r in sorted(rows, key=lambda r: r["cell"]):
             r["text"] = r["text"] or ""
             if out and out[-1]["label"] == r["label"]:
                 a, b = out[-1]["box"], r["box"]
@@ -198,9 +201,9 @@ def merge_cells(cells: DataFrame, same_line: float = 0.8, gap: float = 6, punctu
                     out[-1]["box"] = {"l": min(a["l"], b["l"]), "t": min(a["t"], b["t"]), "r": max(a["r"], b["r"]), "b": max(a["b"], b["b"])}
                     continue
             out.append(r)
-        return pd.DataFrame(out, columns=["doc_id", "page_no", "cell", "label", "text", "box"])
+        return out
 
-    return cells.select(*PAGE, "cell", "label", "text", "box").groupBy(*PAGE).applyInPandas(one, schema)
+    return grouped(cells.select(*PAGE, "cell", "label", "text", "box"), PAGE, one, f"cell:bigint,label:string,text:string,box:{BOX}")
 
 
 def merge_paragraphs(items: DataFrame, width: float = 0.1, align: float = 5, gap: float = 1, full: float = 2) -> DataFrame:
