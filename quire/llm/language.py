@@ -145,7 +145,7 @@ def classify(texts: list[str | None], m: Model) -> list[tuple[str | None, float
         second = np.where(np.arange(L) == top[:, None], -1, cos).max(axis=1)
         conf = np.clip((topv - second) / np.maximum(topv, 1e-9), 0, 1)
         bucket = np.minimum(np.log2(np.maximum(stot[:, -1], 1)).astype(int), len(m.floor) - 1)
-        name = np.where((stot[:, -1] > 0) & (topv >= m.floor[bucket]), top, L)
+        name = np.where((topv > 0) & (topv >= m.floor[bucket]), top, L)
         per: dict[int, list[tuple]] = {}
         names = [*m.languages, "und"]
         for d, s, e, n, c, w in zip(sdoc.tolist(), sstart.tolist(), sstop.tolist(), name.tolist(), conf.tolist(), swords.tolist()):

@@ -29,7 +29,7 @@ def flight(p: list[float], size: list[float], rng: np.random.Generator, land: bo
     """
     p = list(p)
     live = [i for i, v in enumerate(p) if EPS < v < 1 - EPS]
-    coin = rng.random(len(live) + 8).tolist()
+    coin = rng.random(4 * len(live) + 64).tolist()  # more than there are moves
     k = 0
 
     def move(ids: list[int], u: list[float], out: bool = False) -> None:
@@ -57,12 +57,12 @@ def flight(p: list[float], size: list[float], rng: np.random.Generator, land: bo
                 act = [j for j in act if 0.0 < p[j] < 1.0]
         return act
 
-    total = sum(size[i] for i in live)
+    total, wanted = sum(size[i] for i in live), sum(p[i] * size[i] for i in live)
     for i in [i for i in live if land and size[i] > 0.02 * total]:  # at most fifty: each moves against all others together
         rest = [j for j in live if j != i and 0.0 < p[j] < 1.0]
         if 0.0 < p[i] < 1.0 and rest and (s := sum(size[j] for j in rest)) > 0:
             # a record larger than all that is wanted can only overshoot; its probability goes to the others
-            move([i, *rest], [1.0] + [-size[i] / s] * len(rest), size[i] > p[i] * size[i] + sum(p[j] * size[j] for j in rest))
+            move([i, *rest], [1.0] + [-size[i] / s] * len(rest), size[i] > wanted)
     live = [i for i in live if 0.0 < p[i] < 1.0]
     n = len(live)
     large, held = (n // 4, min(n // 2, RESERVE)) if land else (0, 0)
