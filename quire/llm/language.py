@@ -66,6 +66,13 @@ def _units(texts: list[str]) -> dict[str, np.ndarray]:
     first = np.cumsum(sizes + 2) - sizes - 2
     low, kind = lower[a], kinds[a]
     start, end = word_ranges(kind)
+    # letters pulled apart are no words and speak for no language
+    one = end - start == 1
+    apart = one.copy()
+    apart[:-1] &= ~one[1:] | (start[1:] - end[:-1] > 3)
+    apart[1:] &= ~one[:-1] | (start[1:] - end[:-1] > 3)
+    keep = ~one | apart
+    start, end = start[keep], end[keep]
     doc = np.searchsorted(first, start, side="right") - 1
     flags = term[a]
     nl = a == 10
@@ -294,13 +301,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return map_columns(spread(docs.select("doc_id", "lang", "text")), run, SCHEMA)
 
 
-def label_cases(docs: DataFrame, model: Model, run_words: int = 20) -> DataFrame:
+def label_cases(docs: DataFrame, model: Model, run_words: int = 20, least_score: float = 0.25) -> DataFrame:
     """(doc_id, found_lang) of documents whose label is absent, names no language of the text, or whose text has several.
 
-    A language counts when run_words words in a row are in it; the main language always does.
+    A language counts when run_words words in a row are in it with a confidence of least_score; the main language always does.
     """
     found = identify(docs, model)
-    counted = F.array_distinct(F.concat(F.array("language"), F.transform(F.filter("segments", lambda s: (s["words"] >= run_words) & (s["language"] != "und")), lambda s: s["language"])))
+    counted = F.array_distinct(F.concat(F.array("language"), F.transform(F.filter("segments", lambda s: (s["words"] >= run_words) & (s["score"] >= least_score) & (s["language"] != "und")), lambda s: s["language"])))
     both = found.where(F.col("language").isNotNull() & (F.col("language") != "und")).select("doc_id", "label", counted.alias("langs"))
     same = F.col("label").isNotNull() & (F.col("langs") == F.array("label"))
     return both.where(~F.coalesce(same, F.lit(False))).select("doc_id", F.explode("langs").alias("found_lang"))
