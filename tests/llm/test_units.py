@@ -98,6 +98,7 @@ def test_scan_words():
     assert broken == 2 and misread >= 3 and kinds[:2] == ["broken_word", "misread"]
     assert scan.noise("well-\nknown and well-\nknown", None, d)[1] == 0
     assert scan.noise("", None, d) == ([], 0, 0)
+    assert scan.repaired("The coun cil sold thehouse near the riv■r. Wind0ws", None, d) == "The council sold the house near the river. Windows"
 
 
 def test_scan_pages():
