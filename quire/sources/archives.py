@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 SCHEMA = "warc_filename string, warc_record_offset bigint, warc_record_length bigint, record_type string, url string, date string, content_mime_type string, content_mime_detected string, content_truncated string, body binary"
 # Record types that hold content, and the body size at which a crawler cut
@@ -134,7 +135,7 @@ def attach_payload(index: DataFrame, root: str = "", container: str = "gzip") ->
     """
     import pyarrow as pa
 
-    schema = index.schema.add("media_bytes", "binary")
+    schema = StructType([*index.schema.fields, StructField("media_bytes", BinaryType())])
     names = index.columns
 
     def fetch(path: str, offset: int, length: int) -> bytes | None:
@@ -166,7 +167,7 @@ def fetch_urls(urls: DataFrame, get: Callable[[str], bytes], column: str = "url"
     """Adds `media_bytes` by `get`, called from a pool of threads in each task; null after the retries."""
     import pyarrow as pa
 
-    schema = urls.schema.add("media_bytes", "binary")
+    schema = StructType([*urls.schema.fields, StructField("media_bytes", BinaryType())])
     at = urls.columns.index(column)
 
     def once(u):
