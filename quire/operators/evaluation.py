@@ -194,3 +194,50 @@ def teds(truth: list[list[str]], guess: list[list[str]]) -> float:
 
     a, b = tree(truth), tree(guess)
     return 1 - tree_distance(a, b, cost) / max(size(a), size(b))
+
+
+def meteor(truth: str | None, guess: str | None, alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5) -> float:
+    """Harmonic mean of word matches, recall weighing more, less a penalty for the number of runs they fall into."""
+    x, y = (truth or "").lower().split(), (guess or "").lower().split()
+    if not x or not y:
+        return 0.0
+    where: dict[str, list[int]] = {}
+    for i, w in enumerate(x):
+        where.setdefault(w, []).append(i)
+    at, last, runs, hit = None, -2, 0, 0
+    for w in y:
+        if not where.get(w):
+            continue
+        at = last + 1 if last + 1 in where[w] else where[w][0]
+        where[w].remove(at)
+        runs += at != last + 1
+        hit, last = hit + 1, at
+    if not hit:
+        return 0.0
+    p, r = hit / len(y), hit / len(x)
+    return p * r / (alpha * p + (1 - alpha) * r) * (1 - gamma * (runs / hit) ** beta)
+
+
+def weighted_match(truth: DataFrame, guess: DataFrame, levels: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
+    """(doc_id, level, score): area of the guessed boxes that the first free truth box of their label meets at a level, over all their area."""
+
+    def match(a, b) -> list[tuple]:
+        out = []
+        for level in levels:
+            free = list(range(len(a or ())))
+            good = whole = 0.0
+            for g in b or ():
+                s = (g["box"]["r"] - g["box"]["l"]) * (g["box"]["b"] - g["box"]["t"])
+                whole += s
+                for k in free:
+                    if a[k]["label"] == g["label"] and _iou(a[k]["box"], g["box"]) >= level:
+                        free.remove(k)
+                        good += s
+                        break
+            out.append((level, round(good / whole, 6) if whole else 0.0))
+        return out
+
+    part = lambda df, n: df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("id", "label", "box"))).alias(n))
+    u = F.udf(match, "array<struct<level:double,score:double>>", useArrow=True)
+    x = part(truth, "t").join(part(guess, "g"), "doc_id", "full")
+    return x.select("doc_id", F.explode(u("t", "g")).alias("x")).select("doc_id", "x.*")

@@ -63,7 +63,15 @@ def quality_regression(spark, d):
     return M.quality_scores(table(spark, d, "documents"), table(spark, d, "teacher_labels"))
 
 
-QUERIES |= {f.__name__: f for f in (remove_tables, split_documents, word_counts, minhash_clusters, ocr_classifier, quality_regression)}
+def document_languages(spark, d):
+    return M.document_languages(table(spark, d, "documents"), ("eng_Latn", "deu_Latn", "fra_Latn", "spa_Latn", "por_Latn", "ita_Latn", "nld_Latn", "rus_Cyrl"))
+
+
+def multi_head_scores(spark, d):
+    return M.multi_head(table(spark, d, "documents"), table(spark, d, "teacher_labels"), ("fw_edu_score", "ocr_quality_score"))
+
+
+QUERIES |= {f.__name__: f for f in (remove_tables, split_documents, word_counts, minhash_clusters, ocr_classifier, quality_regression, document_languages, multi_head_scores)}
 SQL |= {
     "remove_tables": "SELECT doc_id, regexp_replace(text, '(?s)<docling_table>.*?</docling_table>', '', 'g') AS text FROM documents WHERE text IS NOT NULL",
     "word_counts": "SELECT doc_id, CAST(len(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\x{0B}]+')) AS INT) AS words FROM documents WHERE text IS NOT NULL",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import records as R
 from quire.operators import corpus as C
 from quire.operators import evaluation as E
+from quire.operators import extract as T
 from quire.operators import layout as L
 from quire.operators import tree as X
 from quire.plans.corpus import PAGES
@@ -301,3 +302,62 @@ def layout_precision(spark, d):
 def suppressed_boxes(spark, d):
     t, g = _boxes(spark, d)
     return E.suppress(t.unionByName(g.withColumn("id", F.col("id") + 1000000))).select("doc_id", "page_no", "id")
+
+
+@query()
+def weighted_box_match(spark, d):
+    t, g = _boxes(spark, d)
+    return E.weighted_match(t.where("page_no = 0"), g.where("page_no = 0"))
+
+
+# extraction
+
+
+@query()
+def extracted_text(spark, d):
+    return T.extract(table(spark, d, "documents").select("doc_id", F.col("text").alias("content")), "markdown")
+
+
+@query()
+def doctags_nodes(spark, d):
+    t = X.serialised(_nodes(spark, d), "doctags")
+    u = F.udf(lambda x: len(T.from_doctags(x)), "int", useArrow=True)
+    return t.select("doc_id", u("text").alias("nodes"))
+
+
+@query()
+def repaired_encoding(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.udf(T.repair_encoding, "string", useArrow=True)("text").alias("text"))
+
+
+@query("SELECT producer, regexp_matches(coalesce(producer, ''), '(?i)cannot open broken document|no objects found|syntax error|encrypted|needs? password|not a pdf|xref|trailer') AS corrupted, count(*) AS n FROM ocr_routing GROUP BY 1, 2")
+def corruption_logs(spark, d):
+    return table(spark, d, "ocr_routing").groupBy("producer", T.corrupted(F.col("producer")).alias("corrupted")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT doc_id, page_no, count(*) AS boxes, CAST(sum(length(text)) AS BIGINT) AS chars, round(avg((r - l) * (b - t)), 6) AS mean_area FROM {_CELLS} GROUP BY doc_id, page_no")
+def page_features(spark, d):
+    s = cells(spark, d).withColumns({"font": F.lit("f"), "hidden": F.lit(False)})
+    return T.page_features(s).select("doc_id", "page_no", "boxes", "chars", "mean_area")
+
+
+@query()
+def joined_lines(spark, d):
+    return T.join_lines(cells(spark, d).withColumn("cluster", F.expr("cell div 3")))
+
+
+@query()
+def merged_strips(spark, d):
+    c = cells(spark, d).select("doc_id", "page_no", _box(F.lit(0), F.col("box.t"), F.lit(595), F.col("box.b")).alias("box"))
+    return T.merge_strips(c)
+
+
+@query("SELECT doc_id, page_no FROM page_lid WHERE best_lang = 'eng_Latn'")
+def language_check_requests(spark, d):
+    p = table(spark, d, "page_lid").withColumn("text", F.lit("some text"))
+    return T.check_requests(p, F.col("best_lang"), F.col("text"), "eng_Latn").select("doc_id", "page_no")
+
+
+@query("SELECT doc_id, num_pages, CAST(c AS BIGINT) AS copy FROM (SELECT doc_id, num_pages, unnest(range(1, CAST(greatest(coalesce(num_pages, 0) // 32, 1) AS BIGINT) + 1)) AS c FROM ocr_routing)")
+def resampled_documents(spark, d):
+    return T.resampled(table(spark, d, "ocr_routing").select("doc_id", "num_pages"))
