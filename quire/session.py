@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -42,12 +41,29 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def written(df: DataFrame, keep_partitions: bool = True) -> DataFrame:
+_folders: set[str] = set()
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of the shared file system; nothing happens where the session is gone already."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:
+        pass
+
+
+def written(df: DataFrame) -> DataFrame:
     """Cut the lineage: write df to the shared folder once and read it back.
 
-    Unlike checkpoint(), the plan is computed once, and a lost executor takes nothing with it.
+    Unlike checkpoint(), the plan is computed once, and a lost executor takes nothing with it. The application's folder
+    is removed when the driver's process ends.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"quire-{uuid.uuid4().hex}")
+    folder = f"{shared_dir(spark)}/quire-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_forget, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
