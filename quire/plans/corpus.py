@@ -273,7 +273,18 @@ def pages_to_text(spark, d):
     return x.select("doc_id", "x.text", "x.page_ends", "x.page_indices").where(F.size("page_indices") > 0)
 
 
-@query()
+def _edge(name: str, back: bool) -> str:
+    """SQL of one edge's run of shared lines: the modal first line's pages, then the positions on which they all agree."""
+    n = "list_reverse(n)" if back else "n"
+    return f"""f_{name} AS (SELECT doc_id, page_no, {n} AS n, ({n})[1] AS first FROM norm),
+c_{name} AS (SELECT doc_id, first, count(*) AS c, min(page_no) AS at_, min(len(n)) AS least_ FROM f_{name} GROUP BY doc_id, first),
+m_{name} AS (SELECT * FROM (SELECT c.*, p.pages, row_number() OVER (PARTITION BY c.doc_id ORDER BY c.c DESC, c.at_) AS rn FROM c_{name} c JOIN (SELECT doc_id, count(*) AS pages FROM norm GROUP BY doc_id) p ON p.doc_id = c.doc_id) WHERE rn = 1 AND pages > 1 AND c >= greatest(5, pages * 0.25) AND NOT starts_with(first, chr(1))),
+k_{name} AS (SELECT f.doc_id, f.page_no, f.n, m.least_ FROM f_{name} f JOIN m_{name} m ON m.doc_id = f.doc_id AND m.first = f.first),
+e_{name} AS (SELECT doc_id, pos, min(line) <> max(line) AS differ FROM (SELECT doc_id, unnest(n[1:least_]) AS line, unnest(range(1, least_ + 1)) AS pos FROM k_{name}) GROUP BY doc_id, pos),
+{name}_ AS (SELECT k.doc_id, k.page_no, coalesce(s.stop - 1, k.least_) AS {name} FROM k_{name} k LEFT JOIN (SELECT doc_id, min(pos) AS stop FROM e_{name} WHERE differ GROUP BY doc_id) s ON s.doc_id = k.doc_id)"""
+
+
+@query(f"WITH norm AS (SELECT doc_id, page_no, list_transform(string_split(text, chr(10)), lambda x, i: CASE WHEN regexp_matches(x, '^\\s*\\|.*\\|\\s*$') THEN chr(1) || CAST(i - 1 AS VARCHAR) || '-' || CAST(page_no AS VARCHAR) ELSE replace(regexp_replace(x, '[0-9]', '0', 'g'), ' ', '') END) AS n FROM {PAGES}), {_edge('top', False)}, {_edge('bottom', True)} SELECT n.doc_id, n.page_no, CAST(coalesce(t.top, 0) AS INT) AS top, CAST(coalesce(b.bottom, 0) AS INT) AS bottom FROM norm n LEFT JOIN top_ t ON t.doc_id = n.doc_id AND t.page_no = n.page_no LEFT JOIN bottom_ b ON b.doc_id = n.doc_id AND b.page_no = n.page_no")
 def boilerplate(spark, d):
     return C.boilerplate(C.page_rows(table(spark, d, "documents")))
 

@@ -54,6 +54,7 @@ def _items(spark, d):
 
 _CELLS = f"(SELECT doc_id, page_no, i - 1 AS cell, line AS text, (length(line) - length(ltrim(line, ' '))) * 6 + 50 AS l, (i - 1) * 12 AS t, 50 + length(line) * 6 AS r, (i - 1) * 12 + 10 AS b FROM (SELECT doc_id, page_no, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM {PAGES}) WHERE length(trim(line, ' ')) > 0)"
 _CLUSTERS = f"(SELECT doc_id, page_no, cell // 3 AS cluster, arg_min(text, cell) AS first, min(l) + 2 AS l, min(t) + 4 AS t, max(r) AS r, max(b) - 1 AS b FROM {_CELLS} GROUP BY doc_id, page_no, cell // 3)"
+_ITEMS = f"(SELECT doc_id, page_no, cell AS item, CASE WHEN starts_with(text, '|') THEN 'table' WHEN regexp_matches(text, '^\\s*[-*•]') THEN 'list_item' WHEN regexp_matches(text, '^\\s*(?:Table|Figure|Abbildung|Tabelle)\\b') THEN 'caption' ELSE 'text' END AS label, text, l, t, r, b FROM {_CELLS})"
 _ASSIGNED = f"(SELECT doc_id, page_no, cell, cluster, share FROM (SELECT c.doc_id, c.page_no, c.cell, k.cluster, greatest(least(c.r, k.r) - greatest(c.l, k.l), 0) * greatest(least(c.b, k.b) - greatest(c.t, k.t), 0) / nullif((c.r - c.l) * (c.b - c.t), 0) AS share, row_number() OVER (PARTITION BY c.doc_id, c.page_no, c.cell ORDER BY greatest(least(c.r, k.r) - greatest(c.l, k.l), 0) * greatest(least(c.b, k.b) - greatest(c.t, k.t), 0) / nullif((c.r - c.l) * (c.b - c.t), 0) DESC, k.cluster) AS rn FROM {_CELLS} c JOIN {_CLUSTERS} k ON k.doc_id = c.doc_id AND k.page_no = c.page_no AND c.l < k.r AND k.l < c.r AND c.t < k.b AND k.t < c.b) WHERE rn = 1 AND share > 0.2)"
 
 
@@ -93,7 +94,7 @@ def without_overlaps(spark, d):
     return L.without_overlaps(k.unionByName(wide)).select("doc_id", "page_no", "cluster")
 
 
-@query()
+@query(f"SELECT doc_id, page_no, arg_max(parent, share) AS parent, child FROM (SELECT p.doc_id, p.page_no, p.cluster AS parent, c.cluster AS child, greatest(least(c.r, p.r) - greatest(c.l, p.l), 0) * greatest(least(c.b, p.b) - greatest(c.t, p.t), 0) / nullif(greatest(c.r - c.l, 0) * greatest(c.b - c.t, 0), 0) AS share FROM {_CLUSTERS} p JOIN (SELECT doc_id, page_no, cluster, l, t, r, b FROM {_CLUSTERS} WHERE NOT starts_with(first, '|') UNION ALL SELECT doc_id, page_no, cluster + 1000000, l + 1, t + 1, r - 1, b - 1 FROM {_CLUSTERS} WHERE starts_with(first, '|')) c ON c.doc_id = p.doc_id AND c.page_no = p.page_no WHERE starts_with(p.first, '|')) WHERE share > 0.8 GROUP BY doc_id, page_no, child")
 def nested_clusters(spark, d):
     k = clusters(spark, d)
     t = k.where("label = 'table'").withColumns({"cluster": F.col("cluster") + 1000000, "label": F.lit("text"), "box": _box(F.col("box.l") + 1, F.col("box.t") + 1, F.col("box.r") - 1, F.col("box.b") - 1)})
@@ -110,12 +111,12 @@ def continued_texts(spark, d):
     return L.continued(_items(spark, d))
 
 
-@query()
+@query(f"SELECT doc_id, item AS caption, CASE WHEN nl IN ('table', 'picture', 'code') THEN ni WHEN pl IN ('table', 'picture', 'code') THEN pi END AS target FROM (SELECT *, lead(label) OVER w AS nl, lead(item) OVER w AS ni, lag(label) OVER w AS pl, lag(item) OVER w AS pi FROM {_ITEMS} WINDOW w AS (PARTITION BY doc_id ORDER BY page_no, item)) WHERE label = 'caption' AND (nl IN ('table', 'picture', 'code') OR pl IN ('table', 'picture', 'code'))")
 def captions(spark, d):
     return L.captions(_items(spark, d))
 
 
-@query()
+@query(f"WITH i AS (SELECT *, CASE WHEN regexp_matches(text, '^\\s*\\*') THEN 'footnote' ELSE label END AS k FROM {_ITEMS}), g AS (SELECT *, sum(CASE WHEN k <> 'footnote' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY page_no, item) AS run FROM i) SELECT f.doc_id, f.item AS footnote, h.item AS target FROM g f JOIN g h ON h.doc_id = f.doc_id AND h.run = f.run AND h.k IN ('table', 'picture') WHERE f.k = 'footnote'")
 def footnotes(spark, d):
     i = _items(spark, d)
     return L.footnotes(i.withColumn("label", F.when(F.col("text").rlike(r"^\s*\*"), "footnote").otherwise(F.col("label"))))
@@ -140,12 +141,15 @@ def page_number_items(spark, d):
     return L.tag_page_numbers(_items(spark, d)).where("is_page_number").select("doc_id", "page_no", "item")
 
 
-@query()
+_MARK = "(?:[-*•·–]|\\(?(?:\\d{1,3}|[ivxlcIVXLC]{1,6}|[A-Za-z])[.)])"
+
+
+@query(f"SELECT doc_id, page_no, item, marker, CASE WHEN lone THEN coalesce(nb, '') ELSE body END AS body FROM (SELECT *, marker IS NOT NULL AND body = '' AS lone, lead(body) OVER w AS nb, coalesce(lag(marker IS NOT NULL AND body = '') OVER w, false) AS after FROM (SELECT doc_id, page_no, item, nullif(regexp_extract(text, '^\\s*({_MARK})(?:\\s+|$)', 1), '') AS marker, regexp_replace(text, '^\\s*{_MARK}(?:\\s+|$)', '') AS body FROM {_ITEMS} WHERE label = 'list_item') WINDOW w AS (PARTITION BY doc_id ORDER BY page_no, item)) WHERE NOT after OR marker IS NOT NULL")
 def list_markers(spark, d):
     return L.list_marker(_items(spark, d).where("label = 'list_item'")).select("doc_id", "page_no", "item", "marker", "body")
 
 
-@query()
+@query(f"SELECT doc_id, page_no, cell, list({{'table_cell': tc, 'share': round(share, 6)}} ORDER BY share DESC, tc) AS matches FROM (SELECT c.doc_id, c.page_no, c.cell, k.cluster AS tc, greatest(least(c.r, k.r) - greatest(c.l, k.l), 0) * greatest(least(c.b, k.b) - greatest(c.t, k.t), 0) / nullif((c.r - c.l) * (c.b - c.t), 0) AS share FROM {_CELLS} c JOIN {_CLUSTERS} k ON k.doc_id = c.doc_id AND k.page_no = c.page_no WHERE starts_with(k.first, '|')) WHERE share > 0 GROUP BY doc_id, page_no, cell")
 def table_cell_matches(spark, d):
     k = clusters(spark, d).where("label = 'table'").select("doc_id", "page_no", F.col("cluster").alias("cell"), "box")
     return L.match_table_cells(k, cells(spark, d))
@@ -286,7 +290,13 @@ def _boxes(spark, d):
     return t, g
 
 
-@query()
+_T = f"(SELECT doc_id, cluster AS id, l, t, r, b FROM {_CLUSTERS} WHERE page_no = 0)"
+_G = f"(SELECT doc_id, cluster AS id, l + cluster % 5 * 4 AS l, t, r, b + cluster % 3 AS b FROM {_CLUSTERS} WHERE page_no = 0)"
+_CUT = "greatest(least(g.r, t.r) - greatest(g.l, t.l), 0) * greatest(least(g.b, t.b) - greatest(g.t, t.t), 0)"
+_AREA = "greatest({0}.r - {0}.l, 0) * greatest({0}.b - {0}.t, 0)"
+
+
+@query(f"WITH j AS (SELECT g.doc_id, g.id AS guess, t.id AS truth, {_CUT} / ({_AREA.format('g')} + {_AREA.format('t')} - {_CUT} + 1e-6) AS iou FROM {_G} g JOIN {_T} t ON t.doc_id = g.doc_id), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, guess ORDER BY iou DESC, truth) AS rn FROM j WHERE iou > 0) SELECT g.doc_id, g.id AS guess, b.truth, round(coalesce(b.iou, 0), 6) AS iou FROM {_G} g LEFT JOIN b ON b.doc_id = g.doc_id AND b.guess = g.id AND b.rn = 1")
 def matched_boxes(spark, d):
     t, g = _boxes(spark, d)
     return E.match_boxes(t.where("page_no = 0"), g.where("page_no = 0"))
