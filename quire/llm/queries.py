@@ -133,7 +133,21 @@ ordered AS (SELECT source, score, row_number() OVER (PARTITION BY source ORDER B
 cut AS (SELECT r.source, r.keep_pct, r.records, o.score AS cutoff, r."rank" FROM ranks r LEFT JOIN ordered o ON o.source = r.source AND o.rn = r."rank")
 """
 
+
+
+def _pairs_sql(k: int, least: float) -> str:
+    """CTEs sets, reps and links: every pair of texts that share a k-word shingle, compared in full."""
+    words = " || ' ' || ".join(f"w[i + {j}]" if j else "w[i]" for j in range(k))
+    return f"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{Nd}}]+') AS w FROM documents WHERE length(text) > 0),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= {k} THEN list_transform(range(1, len(w) - {k - 2}), lambda i: hash({words})) ELSE [hash(array_to_string(w, ' '))] END) AS s FROM w WHERE len(w) > 0),
+reps AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS rep FROM sets),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND a.n >= {least} * b.n AND b.n >= {least} * a.n GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= {least} * (a.n + b.n - count(*)) - 1e-9)"""
+
+
 SQL: dict[str, str] = {
+    "p4_found": f"WITH {_pairs_sql(3, 0.7)} SELECT a AS doc_id_a, b AS doc_id_b FROM links",
+    "p4_groups": f"WITH RECURSIVE {_pairs_sql(5, 0.8)}, own AS (SELECT a, b FROM links WHERE a IN (SELECT rep FROM reps) AND b IN (SELECT rep FROM reps)), twoway AS (SELECT a, b FROM own UNION SELECT b, a FROM own), reach AS (SELECT DISTINCT rep AS a, rep AS b FROM reps UNION SELECT r.a, x.b FROM reach r JOIN twoway x ON x.a = r.b), class AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a) SELECT r.doc_id, c.class_id, (SELECT count(*) FROM twoway x WHERE x.a = r.rep) AS links FROM reps r JOIN class c ON c.a = r.rep",
     "p6_found": _P6 + "SELECT s.source, s.doc_id FROM scored s JOIN cut c ON c.source = s.source WHERE s.score >= c.cutoff",
     "p6_cutoffs": _P6 + 'SELECT source, keep_pct, records, cutoff, "rank" FROM cut',
     "p6_report": _P6 + "SELECT c.source, s.lang, c.keep_pct, c.cutoff, count(s.doc_id) AS records, count(CASE WHEN s.score >= c.cutoff THEN 1 END) AS kept FROM cut c LEFT JOIN scored s ON s.source = c.source GROUP BY c.source, s.lang, c.keep_pct, c.cutoff",
