@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quire.llm.text import MIX, broadcast_value, char_tables, codes, groups_by_size, has_text, map_columns, mix, shingle_hashes, spread, word_hashes, word_ranges
 
 SPAN, RADIUS, BLOCKS = 6, 3, 4
-BLOCK_ITEMS = 50_000  # items of one broadcast index; more are taken in blocks
+BLOCK_ITEMS = 10_000  # items of one broadcast index; more are taken in blocks
 DIVIDED = r"(?<=[\p{L}\p{N}])[-‐­¬]\s*\n\s*(?=[\p{L}\p{N}])"
 
 
