@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +27,18 @@ def signatures(docs: DataFrame, scope: str | None = None, buckets: int = BUCKETS
     schema = "doc_id bigint, scope string, bands array<bigint>"
 
     def band(text: str) -> list[int] | None:
-        import re
-        import xxhash
-
         w = re.findall(r"[^\W_]+", text.lower())
         if not w:
             return None
         k = min(words, len(w))
         h = np.fromiter({xxhash.xxh64_intdigest(" ".join(w[i : i + k])) for i in range(len(w) - k + 1)}, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            low = np.array([((h * m) ^ ((h * m) >> np.uint64(29))).min() for m in mult]).reshape(buckets, hashes)
+        low = np.full(buckets * hashes, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for at in range(0, len(h), 4096):  # bounded memory for texts of any length
+            with np.errstate(over="ignore"):
+                x = h[None, at : at + 4096] * mult[:, None]
+            x ^= x >> np.uint64(29)
+            np.minimum(low, x.min(axis=1), out=low)
+        low = low.reshape(buckets, hashes)
         return [xxhash.xxh64_intdigest(low[b].tobytes(), seed=b) - (1 << 63) for b in range(buckets)]
 
     def run(batches):
@@ -63,7 +68,7 @@ def connected(edges: DataFrame) -> DataFrame:
         near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("cluster").alias("m"))
         step = label.join(near, "node").select("node", F.least("cluster", "m").alias("cluster"))
         jump = label.select(F.col("node").alias("cluster"), F.col("cluster").alias("over"))
-        new = written(step.join(jump, "cluster", "left").select("node", F.least("cluster", F.coalesce("over", "cluster")).alias("cluster"), "cluster").toDF("node", "cluster", "before").select("node", "cluster"))
+        new = written(step.join(jump, "cluster", "left").select("node", F.least("cluster", F.coalesce("over", "cluster")).alias("cluster")))
         if new.join(label, ["node", "cluster"], "left_anti").limit(1).count() == 0:
             return new
         label = new
