@@ -155,7 +155,7 @@ def table_cell_matches(spark, d):
     return L.match_table_cells(k, cells(spark, d))
 
 
-@query("SELECT doc_id, page_no, CAST(greatest(floor(ceil(w * z / 28 - 1e-12 + 0) * 0 + w * z / 28), 1) * 28 AS INT) AS width FROM (SELECT doc_id, page_no, 600.0 + alpha_bytes % 300 AS w, 1280.0 / greatest(600.0 + alpha_bytes % 300, 800.0) AS z FROM page_lid WHERE alpha_bytes IS NOT NULL)")
+@query("SELECT doc_id, page_no, CAST(greatest(floor(w * z / 28), 1) * 28 AS INT) AS width FROM (SELECT doc_id, page_no, 600.0 + alpha_bytes % 300 AS w, 1280.0 / greatest(600.0 + alpha_bytes % 300, 800.0) AS z FROM page_lid WHERE alpha_bytes IS NOT NULL)")
 def render_sizes(spark, d):
     p = table(spark, d, "page_lid").where("alpha_bytes IS NOT NULL")
     return p.select("doc_id", "page_no", R.render_size(F.lit(600.0) + F.col("alpha_bytes") % 300, F.lit(800.0))["width"].alias("width"))

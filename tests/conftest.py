@@ -5,7 +5,7 @@ from quire.session import get_session
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("4", 4, "tests")
+    s = get_session("4", 2, "tests")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
