@@ -76,11 +76,16 @@ def page_language_average(page_lid: DataFrame, least: float = 0.01) -> DataFrame
 def threshold_sweep(pairs: DataFrame, min_recall: float = 0.1, min_precision: float = 0.9, beta: float = 0.1) -> DataFrame:
     """Every score of a language as a threshold: (lang, score, kept, correct, precision, recall, f, feasible).
 
-    Equal scores are aggregated first, so the window runs over distinct scores, not rows. Undecided pairs are left out.
+    Equal scores are aggregated first, and no task sums more than one range of a language's scores. Undecided pairs are left out.
     """
     g = pairs.where(F.col("language_correct").isNotNull() & F.col("score").isNotNull() & F.col("lang").isNotNull()).groupBy("lang", "score").agg(F.count("*").alias("n"), F.sum(F.col("language_correct").cast("bigint")).alias("c"))
-    down = Window.partitionBy("lang").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    x = g.withColumns({"kept": F.sum("n").over(down), "correct": F.sum("c").over(down), "all_true": F.sum("c").over(Window.partitionBy("lang"))})
+    # running sums in two levels: over ranges of scores, of which a language has at most 4,097, then inside each range
+    g = g.withColumn("range", F.greatest(F.least(F.floor(F.col("score") * 4096), F.lit(4096)), F.lit(0)))
+    above = Window.partitionBy("lang").orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    r = g.groupBy("lang", "range").agg(F.sum("n").alias("rn"), F.sum("c").alias("rc"))
+    r = r.select("lang", "range", F.coalesce(F.sum("rn").over(above), F.lit(0)).alias("n0"), F.coalesce(F.sum("rc").over(above), F.lit(0)).alias("c0"), F.sum("rc").over(Window.partitionBy("lang")).alias("all_true"))
+    down = Window.partitionBy("lang", "range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    x = g.join(r, ["lang", "range"]).withColumns({"kept": F.col("n0") + F.sum("n").over(down), "correct": F.col("c0") + F.sum("c").over(down)})
     p, r = F.col("correct") / F.col("kept"), F.col("correct") / F.col("all_true")
     x = x.where(F.col("all_true") > 0).withColumns({"precision": p, "recall": r})
     f = F.coalesce(F.try_divide((1 + beta**2) * F.col("precision") * F.col("recall"), beta**2 * F.col("precision") + F.col("recall")), F.lit(0.0))
@@ -106,10 +111,10 @@ def threshold_report(pairs: DataFrame, **limits) -> DataFrame:
 def with_language_bucket(scores: DataFrame, thresholds: DataFrame, floor: float = 0.05) -> DataFrame:
     """Adds bucket and accepted to rows with `scores`; thresholds (one row a language) are at least `floor`, zxx free.
 
-    The thresholds travel as one map, bounded by the number of languages.
+    The thresholds are one map, bounded by the number of languages, that a scalar subquery gives to every row.
     """
     th = thresholds.agg(F.map_from_entries(F.collect_list(F.struct("lang", F.greatest("threshold", F.lit(floor))))).alias("th")).select(F.map_concat("th", F.create_map(*[x for z in ("zxx_Latn", "zxx_Cyrl", "zxx_Arab") for x in (F.lit(z), F.lit(-1.0))])).alias("th"))
-    x = scores.join(F.broadcast(th))
+    x = scores.withColumn("th", th.scalar())
     return x.withColumn("x", R.select_language(F.coalesce("scores", F.array().cast("array<struct<lang:string,score:double>>")), F.col("th"))).select(*scores.columns, "x.bucket", "x.accepted")
 
 
@@ -119,28 +124,38 @@ def samples_per_class(labels: DataFrame, label: str, low: int, high: int, most_r
     every = labels.sparkSession.range(low, high + 1).select(F.col("id").cast("int").alias("label"))
     x = every.join(valid, "label", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     t = x.where("n > 0").agg((F.min("n") * most_repeats).alias("t"))
+    x = x.withColumn("t", t.scalar())
     cap = F.col("t") * downscale
-    return x.join(F.broadcast(t), how="left").select("label", "n", F.when(F.col("n") == 0, 0).otherwise(F.greatest(F.least(F.col("n").cast("double"), cap), F.col("t"))).cast("bigint").alias("samples"))
+    return x.select("label", "n", F.when(F.col("n") == 0, 0).otherwise(F.greatest(F.least(F.col("n").cast("double"), cap), F.col("t"))).cast("bigint").alias("samples"))
 
 
-def balanced_sample(rows: DataFrame, label: str, key: str, wanted: DataFrame, seed: str = "42") -> DataFrame:
-    """(label, key, copies) drawn so that each class has the wanted number of samples: whole rounds, then the first by hash.
+def hash_ranks(rows: DataFrame, label: str, key: str, seed: str) -> DataFrame:
+    """Adds `rank` of a row in its class by a hash of the key, and `m`, the rows of the class.
 
-    Ranks come from a hash order inside a class; no row is collected.
+    Classes are few and large, so ranks come in two levels: 4,096 hash ranges of each class are counted and summed up,
+    and rows are ranked inside their range only. Rows of a null class are left out.
     """
-    n = F.count("*").over(Window.partitionBy(label))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), key))
-    x = rows.select(label, key).withColumns({"m": n, "rank": rank}).join(F.broadcast(wanted.select(F.col("label").alias(label), "samples")), label)
+    h = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
+    x = rows.where(F.col(label).isNotNull()).withColumns({"_h": h, "_b": F.substring(h, 1, 3)})
+    n = x.groupBy(label, "_b").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    n = n.select(label, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"), F.sum("_n").over(Window.partitionBy(label)).alias("m"))
+    inside = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
+    return x.join(n, [label, "_b"]).withColumn("rank", F.col("_o") + inside).drop("_h", "_b", "_o")
+
+
+def balanced_sample(rows: DataFrame, label: str, key: str, wanted: DataFrame, seed: str = "42") -> DataFrame:
+    """(label, key, copies) drawn so that each class has the wanted number of samples: whole rounds, then the first by hash."""
+    x = hash_ranks(rows.select(label, key), label, key, seed).join(F.broadcast(wanted.select(F.col("label").alias(label), "samples")), label)
     copies = F.expr("samples div m").cast("bigint") + (F.col("rank") <= F.col("samples") % F.col("m")).cast("bigint")
     return x.select(F.col(label).alias("label"), F.col(key).alias("key"), copies.alias("copies")).where("copies > 0")
 
 
 def stratified_split(rows: DataFrame, label: str, key: str, test_share: float = 0.04, most: int = 20000, seed: str = "42") -> DataFrame:
-    """Adds `split`: in each class the first rows by hash are test, test_share of them rounded up, most in all classes."""
-    h = Window.partitionBy(label).orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), key)
-    n, classes = F.count("*").over(Window.partitionBy(label)), rows.select(label).distinct().count() or 1
-    limit = F.least(F.ceil(n * test_share), F.lit(most // classes))
-    return rows.withColumns({"_r": F.row_number().over(h), "_l": limit}).withColumn("split", F.when(F.col("_r") <= F.col("_l"), "test").otherwise("train")).drop("_r", "_l")
+    """Adds `split`: in each class the first rows by hash are test, test_share of them rounded up, `most` in all classes."""
+    classes = rows.select(label).where(F.col(label).isNotNull()).distinct().count() or 1
+    limit = F.least(F.ceil(F.col("m") * test_share), F.lit(most // classes))
+    return hash_ranks(rows, label, key, seed).withColumn("split", F.when(F.col("rank") <= limit, "test").otherwise("train")).drop("rank", "m")
 
 
 def class_metrics(pred: DataFrame, truth: str, guess: str, low: int = 0, high: int = 5) -> DataFrame:
@@ -159,7 +174,7 @@ def dataset_stats(df: DataFrame, value: str, by: Iterable[str] = (), bins: int =
     """Count, mean, median, sample deviation and a histogram over [0, 1] of a column; -1 where nothing is there."""
     v = F.col(value)
     slot = F.least(F.greatest(F.floor(v * bins), F.lit(0)), F.lit(bins - 1))
-    hist = [F.count_if(slot == i) for i in range(bins)]
+    hist = [F.count_if(v.isNotNull() & (slot == i)) for i in range(bins)]
     g = df.groupBy(*by) if by else df.groupBy()
     d = lambda x: F.round(F.coalesce(x, F.lit(-1.0)), 6)
     return g.agg(F.count(v).alias("n"), d(F.avg(v)).alias("mean"), d(F.median(v)).alias("median"), d(F.stddev_samp(v)).alias("std"), F.array(*hist).alias("histogram"))

@@ -217,7 +217,7 @@ def class_metrics(spark, d):
     return C.class_metrics(j, "fw_edu_score", "score")
 
 
-@query("SELECT source, count(v) AS n, round(coalesce(avg(v), -1), 6) AS mean, round(coalesce(median(v), -1), 6) AS median, round(coalesce(stddev_samp(v), -1), 6) AS std, [" + ", ".join(f"CAST(sum(CASE WHEN least(greatest(floor(v * 20), 0), 19) = {i} THEN 1 ELSE 0 END) AS BIGINT)" for i in range(20)) + "] AS histogram FROM (SELECT source, score / 5 AS v FROM documents) GROUP BY source")
+@query("SELECT source, count(v) AS n, round(coalesce(avg(v), -1), 6) AS mean, round(coalesce(median(v), -1), 6) AS median, round(coalesce(stddev_samp(v), -1), 6) AS std, [" + ", ".join(f"CAST(sum(CASE WHEN v IS NOT NULL AND least(greatest(floor(v * 20), 0), 19) = {i} THEN 1 ELSE 0 END) AS BIGINT)" for i in range(20)) + "] AS histogram FROM (SELECT source, score / 5 AS v FROM documents) GROUP BY source")
 def dataset_stats(spark, d):
     return C.dataset_stats(table(spark, d, "documents").select("source", (F.col("score") / 5).alias("v")), "v", ["source"])
 

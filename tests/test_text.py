@@ -154,3 +154,31 @@ def test_coalesce_failed(spark):
     df = spark.createDataFrame([(["<--- stop_reason_length --->", " ok "],), (["The 2003-04 season x"],)], "p array<string>")
     a, b = [r[0] for r in df.select(C.coalesce_failed(F.col("p"))).collect()]
     assert a["pages"] == ["<failed_page></failed_page>\n", "ok\n"] and a["ok"] and not b["ok"]
+
+
+def test_hash_ranks_and_sampling(spark):
+    import hashlib
+
+    rows = [(i, i % 7 % 3) for i in range(300)] + [(900, None)]
+    df = spark.createDataFrame(rows, "id bigint, y int")
+    got = {(r["y"], r["id"]): (r["rank"], r["m"]) for r in C.hash_ranks(df, "y", "id", "42").collect()}
+    for y in range(3):
+        own = sorted((hashlib.md5(f"42{i}".encode()).hexdigest(), i) for i, k in rows if k == y)
+        assert [got[y, i] for _, i in own] == [(n, len(own)) for n in range(1, len(own) + 1)]
+    wanted = C.samples_per_class(df, "y", 0, 5, 2.0, 1.0)
+    w = {r["label"]: r["samples"] for r in wanted.collect()}
+    assert w[5] == 0
+    drawn = {r[0]: r[1] for r in C.balanced_sample(df, "y", "id", wanted).groupBy("label").agg(F.sum("copies")).collect()}
+    assert drawn == {k: v for k, v in w.items() if v}
+    assert C.balanced_sample(df.limit(0), "y", "id", wanted).count() == 0
+    split = C.stratified_split(df, "y", "id", 0.1)
+    assert {r[0]: r[1] for r in split.where("split = 'test'").groupBy("y").count().collect()} == {y: -(-sum(k == y for _, k in rows) // 10) for y in range(3)}
+
+
+def test_class_metrics_and_stats(spark):
+    df = spark.createDataFrame([(0, 0.2), (0, 1.6), (2, 2.5), (5, 9.0), (None, 1.0), (1, None)], "y int, p double")
+    r = C.class_metrics(df, "y", "p").first()
+    assert r["accuracy"] == 0.75 and r["macro_recall"] == pytest.approx(2.5 / 3, abs=1e-6)
+    s = C.dataset_stats(spark.createDataFrame([(0.0,), (0.05,), (1.0,), (None,)], "v double"), "v").first()
+    assert s["n"] == 3 and s["histogram"][0] == 1 and s["histogram"][1] == 1 and s["histogram"][19] == 1
+    assert C.dataset_stats(spark.createDataFrame([], "v double"), "v").first()["mean"] == -1
