@@ -37,11 +37,13 @@ _TOKEN = re.compile(rf"[^\s.,;:!?()\[\]|\"'’“”«»„‘<>/—–•*#+=
 _BREAK = re.compile(rf"([^\W\d_]+)([{MARKS}])[ \t]*\n\s*([^\W\d_]+)")
 _MARKED = re.compile(rf"[{MARKS}][ \t]*\n")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_] ){3,}[^\W\d_](?!\S)")
+_BLANK = re.compile(r"\n[ \t]*\n")
 _NUMBER = re.compile(r"\d{1,4}")
 _ROMAN = re.compile(r"^[ivxlc]{1,7}$")
 _ITEM = re.compile(r"^\s*(?:[-*•–—>#|]|\d{1,3}[.)]\s)")
 _ALONE = re.compile(r"^\W*\d{1,4}\W*$")
 _ENDS = tuple(".!?:;…")
+GAP = "\n"  # between tokens of a stream that are parted by more than white space
 _ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßàâçéèêëîïôûùœáíóúñãõìòабвгдежзийклмнопрстуфхцчшщъыьэюя"
 _ROMAN_VALUE = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 
@@ -75,7 +77,10 @@ class Decoder:
         self.words, self.total = words, max(total, 1)
         self.common = max(20, self.total * 1e-5)
         self.seen: dict[str, str | None] = {}
-        self.chunks: dict[str, int] = {}
+        self.chunks: dict[str, tuple[str, ...]] = {}
+        self.odd: dict[str, bool] = {}
+        self.parts: dict[str, tuple[float, list[str], bool] | None] = {}
+        self.begins = {w[:k] for w in words for k in range(2, len(w) + 1)}  # what words begin with, and the words
 
     def cost(self, word: str) -> float:
         """Bits of a word; an unknown word pays as a very rare one, the more the longer."""
@@ -124,18 +129,21 @@ class Decoder:
                 break
         return None
 
-    def misreads(self, chunk: str) -> int:
-        """Misread words in a lower-case stretch without white space; words in a disguise of two signs don't count."""
-        n = self.chunks.get(chunk)
-        if n is None:
-            n = 0
-            for t in _TOKEN.findall(chunk):
-                if self.words.get(t, 0) < self.common and self.corrected(t) and sum(c in "@$0134" for c in t) < 2:
-                    n += 1
-            if len(self.chunks) > 300_000:
-                self.chunks.clear()
-            self.chunks[chunk] = n
-        return n
+    def misread(self, token: str) -> bool:
+        """Whether a lower-case token is a misread word; a word in a disguise of two signs is none."""
+        return self.words.get(token, 0) < self.common and self.corrected(token) is not None and sum(c in "@$0134" for c in token) < 2
+
+    def stream(self, text: str) -> list[str]:
+        """Tokens of a lower-case text in the order of reading, with GAP where two are parted by more than white space."""
+        out: list[str] = []
+        for chunk in text.split():
+            got = self.chunks.get(chunk)
+            if got is None:
+                if len(self.chunks) > 300_000:
+                    self.chunks.clear()
+                got = self.chunks[chunk] = tuple(_tokens(chunk))
+            out += got
+        return out
 
     def divided(self, left: str, mark: str, right: str) -> bool:
         """Whether the mark at a line end divides one word, by the costs of the joint and of the parted reading."""
@@ -146,40 +154,135 @@ class Decoder:
             joint = fixed
         return self.cost(joint) < self.cost(left) + self.cost(right) + 4
 
-    def decode(self, tokens: list[str]) -> list[str]:
-        """Words of a stretch of lower-case tokens: each edge keeps, corrects, joins up to twelve tokens, or parts one."""
+    def parted(self, token: str) -> tuple[float, list[str], bool] | None:
+        """(cost, words, whether one is misread) of the cheapest two words that a token may run together, or None."""
+        if token not in self.parts:
+            if len(self.parts) > 300_000:
+                self.parts.clear()
+            self.parts[token] = self._parted(token)
+        return self.parts[token]
+
+    def _parted(self, token: str) -> tuple[float, list[str], bool] | None:
+        if not 6 <= len(token) <= 40:
+            return None
+        known = token in self.words
+        got: list[tuple[float, list[str], bool]] = []
+        for k in range(2, len(token) - 1):
+            left, right = token[:k], token[k:]
+            if left in self.words and right in self.words:
+                got.append((self.cost(left) + self.cost(right) + 8, [left, right], False))
+            elif known:
+                continue
+            elif self.words.get(left, 0) >= self.common and (fixed := self.corrected(right)):  # run together and misread at once
+                got.append((self.cost(left) + self.cost(fixed) + 14, [left, fixed], True))
+            elif self.words.get(right, 0) >= self.common and (fixed := self.corrected(left)):
+                got.append((self.cost(fixed) + self.cost(right) + 14, [fixed, right], True))
+        best = min(got, default=None)
+        return best if best and best[0] < self.cost(token) else None
+
+    def suspicious(self, token: str) -> bool:
+        """Whether a token is no known word, a rare one that a frequent word explains, or one that parts into two cheaper ones."""
+        got = self.odd.get(token)
+        if got is None:
+            if len(self.odd) > 300_000:
+                self.odd.clear()
+            n = self.words.get(token, 0)
+            got = self.odd[token] = n < self.common and (self.corrected(token) is not None or not n and len(token) > 1 and any(map(str.isalpha, token)) and not any(map(str.isdigit, token))) or self.parted(token) is not None
+        return got
+
+    def joinable(self, pieces: list[str], joint: str) -> bool:
+        """Whether pieces may be one word: a letter that is a word of its own needs one ten times as frequent as its rarest piece."""
+        if len(joint) < 3:
+            return False
+        single = sum(len(p) == 1 for p in pieces)
+        if single in (0, len(pieces)):
+            return True
+        least = min(self.words.get(p, 0) for p in pieces)
+        return self.words.get(joint, 0) >= 10 * least
+
+    def joins(self, tokens: list[str], i: int) -> int:
+        """Behind the last of the tokens from i on that join to a word cheaper than they are, or 0."""
+        joint, apart, end = tokens[i], self.cost(tokens[i]), 0
+        for j in range(i + 1, min(len(tokens), i + 12)):
+            joint += tokens[j]
+            if joint not in self.begins:
+                break
+            apart += self.cost(tokens[j])
+            if joint in self.words and self.cost(joint) + 5 < apart and self.joinable(tokens[i : j + 1], joint):
+                end = j + 1
+        return end
+
+    def stretches(self, tokens: list[str]) -> list[tuple[int, int]]:
+        """Stretches (start, stop) of a stream outside which every token is kept: of suspicious tokens with their neighbours, and of joins."""
+        begins, odd = self.begins, self.suspicious
+        spans: list[tuple[int, int]] = []
+        for i, t in enumerate(tokens):
+            if t != GAP and odd(t):
+                spans.append((i - 1 if i and tokens[i - 1] != GAP else i, i + 2 if i + 1 < len(tokens) and tokens[i + 1] != GAP else i + 1))
+        for i, (a, b) in enumerate(zip(tokens, tokens[1:])):
+            if a + b in begins and (end := self.joins(tokens, i)):
+                spans.append((i, end))
+        out: list[tuple[int, int]] = []
+        for lo, hi in sorted(spans):
+            if out and lo < out[-1][1]:
+                out[-1] = out[-1][0], max(hi, out[-1][1])
+            else:
+                out.append((lo, hi))
+        return out
+
+    def edges(self, tokens: list[str]) -> list[tuple[int, int, list[str], bool]]:
+        """Edges (start, stop, words, whether misread) of the least cost over a stretch of lower-case tokens.
+
+        Each keeps, corrects, joins up to twelve tokens, or parts one; joined and parted words may be misread besides.
+        """
         n = len(tokens)
         best = [0.0] + [math.inf] * n
-        back: list[tuple[int, list[str]]] = [(0, [])] * (n + 1)
+        back: list[tuple[int, list[str], bool]] = [(0, [], False)] * (n + 1)
 
-        def edge(i: int, j: int, words: list[str], cost: float) -> None:
+        def edge(i: int, j: int, words: list[str], cost: float, misread: bool = False) -> None:
             if best[i] + cost < best[j]:
-                best[j], back[j] = best[i] + cost, (i, words)
+                best[j], back[j] = best[i] + cost, (i, words, misread)
 
         for i in range(n):
             t = tokens[i]
-            edge(i, i + 1, [t], self.cost(t))
+            edge(i, i + 1, [t], self.cost(t), self.misread(t))
             if (fixed := self.corrected(t)) is not None:
-                edge(i, i + 1, [fixed], self.cost(fixed) + 6)
-            if t not in self.words and 6 <= len(t) <= 40:
-                for k in range(2, len(t) - 1):
-                    if t[:k] in self.words and t[k:] in self.words:
-                        edge(i, i + 1, [t[:k], t[k:]], self.cost(t[:k]) + self.cost(t[k:]) + 8)
+                edge(i, i + 1, [fixed], self.cost(fixed) + 6, self.misread(t))
+            if parts := self.parted(t):
+                edge(i, i + 1, parts[1], parts[0], parts[2] and sum(c in "@$0134" for c in t) < 2)
             joint = t
+            # letters are pulled apart where a piece is no common word of its own, or all are single letters
+            rare, single = self.words.get(t, 0) < self.common, len(t) == 1
             for j in range(i + 1, min(n, i + 12)):
                 joint += tokens[j]
-                word = joint if joint in self.words else None
-                if word is None and j == i + 1 and t not in self.words and tokens[j] not in self.words:
+                rare |= self.words.get(tokens[j], 0) < self.common
+                single &= len(tokens[j]) == 1
+                word = joint if joint in self.words and self.joinable(tokens[i : j + 1], joint) else None
+                if word is None and j == i + 1 and joint not in self.words and max(self.words.get(t, 0), self.words.get(tokens[j], 0)) < self.common and not (t in self.words and tokens[j] in self.words):
                     word = self.corrected(joint)  # divided and misread at once
                 if word:
-                    edge(i, j + 1, [word], self.cost(word) + 5)
-        out: list[str] = []
+                    edge(i, j + 1, [word], self.cost(word) + 5, rare or single)
+        out: list[tuple[int, int, list[str], bool]] = []
         j = n
         while j:
-            i, words = back[j]
-            out[:0] = words
+            i, words, misread = back[j]
+            out.append((i, j, words, misread))
             j = i
-        return out
+        return out[::-1]
+
+    def decode(self, tokens: list[str]) -> list[str]:
+        """Words of the least-cost reading of a stretch of lower-case tokens."""
+        return [w for _, _, words, _ in self.edges(tokens) for w in words]
+
+
+def _tokens(chunk: str) -> list[str]:
+    out, at = [], 0
+    for m in _TOKEN.finditer(chunk):
+        if m.start() > at:
+            out.append(GAP)
+        out.append(m[0])
+        at = m.end()
+    return out + [GAP] * (at < len(chunk))
 
 
 def _number_values(line: str) -> list[int]:
@@ -351,10 +454,17 @@ def noise(text: str, ends: list[int] | None, d: Decoder) -> tuple[list[str], int
     body = without(text, drop)
     broken = sum(d.divided(a.lower(), m, b.lower()) for a, m, b in _BREAK.findall(body)) if _MARKED.search(body) else 0
     joined = _BREAK.sub(lambda m: m[1] + m[3] if d.divided(m[1].lower(), m[2], m[3].lower()) else m[0], body) if broken else body
-    chunks = Counter(joined.lower().split())
-    misread = sum(n * d.misreads(c) for c, n in chunks.items())
-    if sum(n for c, n in chunks.items() if len(c) == 1 and c.isalpha()) >= 4:
-        misread += sum(1 for line in joined.split("\n") if not line.startswith("|") for _ in _SPACED.finditer(line))
+    misread = 0
+    if _SPACED.search(joined):
+        lines = joined.split("\n")
+        for i, line in enumerate(lines):
+            if not line.startswith("|"):
+                lines[i], n = _SPACED.subn(lambda m: m[0].replace(" ", ""), line)
+                misread += n
+        joined = "\n".join(lines)
+    stream = d.stream(_BLANK.sub("\n|\n", joined.lower()))
+    for lo, hi in d.stretches(stream):
+        misread += sum(e[3] for e in d.edges(stream[lo:hi]))
     kinds = [k for k, on in zip(KINDS, (broken >= 2, misread >= 3, header, number)) if on]
     return kinds, broken, misread
 

@@ -226,3 +226,12 @@ def test_cell_join_is_exact():
     sets = [set(np.frombuffer(r[1], np.uint32).tolist()) for r in rows]
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.7}
     assert set(zip(a, b)) == want and want
+
+
+def test_scan_counts_come_from_the_lattice():
+    d = decoder()
+    assert scan.noise("the cou ricil sold t h e old house", None, d)[2] == 2  # divided by a blank and misread at once, a short word pulled apart
+    assert scan.noise("nobody saw thecouricil and the coun\ncil", None, d)[2] == 2  # run together and misread at once, parted over a line end without a mark
+    assert scan.noise("the house near the\n\nriver was sold", None, d)[2] == 0
+    kinds = scan.noise("the cou ricil sold t h e old house to thecouricil", None, d)[0]
+    assert kinds == ["misread"]
