@@ -50,10 +50,11 @@ def bleu(truth: str | None, guess: str | None, n: int = 4) -> float:
 
 
 def match_boxes(truth: DataFrame, guess: DataFrame) -> DataFrame:
-    """(doc_id, guess, truth, iou): the truth box of the largest IoU for each guessed box; none (null) where it meets none."""
-    j = guess.select("doc_id", F.col("id").alias("guess"), F.col("box").alias("g")).join(truth.select("doc_id", F.col("id").alias("truth"), F.col("box").alias("t")), "doc_id")
-    x = j.withColumn("iou", R.iou(F.col("g"), F.col("t"))).where("iou > 0").groupBy("doc_id", "guess").agg(F.max_by("truth", F.struct("iou", -F.col("truth"))).alias("truth"), F.max("iou").alias("iou"))
-    return guess.select("doc_id", F.col("id").alias("guess")).join(x, ["doc_id", "guess"], "left").select("doc_id", "guess", "truth", F.round(F.coalesce("iou", F.lit(0.0)), 6).alias("iou"))
+    """(doc_id, page_no, guess, truth, iou): the truth box of a page with the largest IoU for each guessed box; none (null) where it meets none."""
+    page = ["doc_id", "page_no"]
+    j = guess.select(*page, F.col("id").alias("guess"), F.col("box").alias("g")).join(truth.select(*page, F.col("id").alias("truth"), F.col("box").alias("t")), page)
+    x = j.withColumn("iou", R.iou(F.col("g"), F.col("t"))).where("iou > 0").groupBy(*page, "guess").agg(F.max_by("truth", F.struct("iou", -F.col("truth"))).alias("truth"), F.max("iou").alias("iou"))
+    return guess.select(*page, F.col("id").alias("guess")).join(x, [*page, "guess"], "left").select(*page, "guess", "truth", F.round(F.coalesce("iou", F.lit(0.0)), 6).alias("iou"))
 
 
 def reading_distance(items: DataFrame) -> DataFrame:
@@ -219,25 +220,30 @@ def meteor(truth: str | None, guess: str | None, alpha: float = 0.9, beta: float
 
 
 def weighted_match(truth: DataFrame, guess: DataFrame, levels: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
-    """(doc_id, level, score): area of the guessed boxes that the first free truth box of their label meets at a level, over all their area."""
+    """(doc_id, page_no, level, score): area of a page's guessed boxes that the first free truth box of their label meets at a level, over all their area."""
 
     def match(a, b) -> list[tuple]:
-        out = []
-        for level in levels:
-            free = list(range(len(a or ())))
-            good = whole = 0.0
-            for g in b or ():
-                s = (g["box"]["r"] - g["box"]["l"]) * (g["box"]["b"] - g["box"]["t"])
-                whole += s
-                for k in free:
-                    if a[k]["label"] == g["label"] and _iou(a[k]["box"], g["box"]) >= level:
-                        free.remove(k)
-                        good += s
+        own: dict[str, list] = {}
+        for r in a or ():
+            own.setdefault(r["label"], []).append(r["box"])
+        free = {label: [list(range(len(boxes))) for _ in levels] for label, boxes in own.items()}
+        good, whole = [0.0] * len(levels), 0.0
+        for r in b or ():
+            x = r["box"]
+            s = (x["r"] - x["l"]) * (x["b"] - x["t"])
+            whole += s
+            boxes, seen = own.get(r["label"]), {}  # each pair is measured at most once, for all levels
+            for n, level in enumerate(levels if boxes else ()):
+                for k in free[r["label"]][n]:
+                    if k not in seen:
+                        seen[k] = _iou(boxes[k], x)
+                    if seen[k] >= level:
+                        free[r["label"]][n].remove(k)
+                        good[n] += s
                         break
-            out.append((level, round(good / whole, 6) if whole else 0.0))
-        return out
+        return [(level, round(y / whole, 6) if whole else 0.0) for level, y in zip(levels, good)]
 
-    part = lambda df, n: df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("id", "label", "box"))).alias(n))
+    part = lambda df, n: df.groupBy("doc_id", "page_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "label", "box"))), lambda r: r.dropFields("id")).alias(n))
     u = F.udf(match, "array<struct<level:double,score:double>>", useArrow=True)
-    x = part(truth, "t").join(part(guess, "g"), "doc_id", "full")
-    return x.select("doc_id", F.explode(u("t", "g")).alias("x")).select("doc_id", "x.*")
+    x = part(truth, "t").join(part(guess, "g"), ["doc_id", "page_no"], "full")
+    return x.select("doc_id", "page_no", F.explode(u("t", "g")).alias("x")).select("doc_id", "page_no", "x.*")

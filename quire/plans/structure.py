@@ -299,7 +299,7 @@ _AREA = "greatest({0}.r - {0}.l, 0) * greatest({0}.b - {0}.t, 0)"
 @query(f"WITH j AS (SELECT g.doc_id, g.id AS guess, t.id AS truth, {_CUT} / ({_AREA.format('g')} + {_AREA.format('t')} - {_CUT} + 1e-6) AS iou FROM {_G} g JOIN {_T} t ON t.doc_id = g.doc_id), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, guess ORDER BY iou DESC, truth) AS rn FROM j WHERE iou > 0) SELECT g.doc_id, g.id AS guess, b.truth, round(coalesce(b.iou, 0), 6) AS iou FROM {_G} g LEFT JOIN b ON b.doc_id = g.doc_id AND b.guess = g.id AND b.rn = 1")
 def matched_boxes(spark, d):
     t, g = _boxes(spark, d)
-    return E.match_boxes(t.where("page_no = 0"), g.where("page_no = 0"))
+    return E.match_boxes(t, g)
 
 
 @query()
@@ -317,7 +317,7 @@ def suppressed_boxes(spark, d):
 @query()
 def weighted_box_match(spark, d):
     t, g = _boxes(spark, d)
-    return E.weighted_match(t.where("page_no = 0"), g.where("page_no = 0"))
+    return E.weighted_match(t, g)
 
 
 # extraction

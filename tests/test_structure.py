@@ -141,3 +141,14 @@ def test_sinks(spark, tmp_path):
     sinks.token_shards(t, str(tmp_path / "t"), 0, 10)
     x = spark.read.parquet(str(tmp_path / "t"))
     assert x.count() == 10 and x.select("shard").distinct().count() > 1 and x.where("element_at(tokens, -1) <> 0").count() == 0
+
+
+def test_boxes_are_matched_on_every_page(spark):
+    schema = f"doc_id bigint, page_no int, id bigint, label string, box {BOX}"
+    a, b = (0.0, 0.0, 10.0, 10.0), (20.0, 20.0, 30.0, 30.0)
+    truth = spark.createDataFrame([(1, 0, 0, "text", a), (1, 1, 0, "text", b), (1, 1, 1, "text", a)], schema)
+    guess = spark.createDataFrame([(1, 0, 0, "text", a), (1, 0, 1, "text", b), (1, 1, 0, "text", a)], schema)
+    got = {(r["page_no"], r["guess"]): (r["truth"], round(r["iou"], 3)) for r in E.match_boxes(truth, guess).collect()}
+    assert got == {(0, 0): (0, 1.0), (0, 1): (None, 0.0), (1, 0): (1, 1.0)}
+    got = {(r["page_no"], r["level"]): r["score"] for r in E.weighted_match(truth, guess, (0.5,)).collect()}
+    assert got == {(0, 0.5): 0.5, (1, 0.5): 1.0}
