@@ -22,13 +22,14 @@ DISGUISE = {"@": "a", "4": "a", "3": "e", "1": "i", "0": "o", "$": "s", "5": "s"
 SENTENCE_WORDS = 40
 LEAST_SCORE = 0.5
 SURE = 16.0
-SEVERAL = 2  # seed features that a sentence needs to be looked at
+SEVERAL = 2  # seed features that weigh together; one alone has a weight of its own
 
 
 @dataclass
 class Model:
     features: np.ndarray  # sorted hashes of words and word pairs
     weights: np.ndarray
+    lone: np.ndarray  # of a seed that is the only one of its sentence
     seed: np.ndarray  # whether a feature speaks for abuse; the rest can only speak against
     bias: float
 
@@ -107,7 +108,7 @@ def train(rows: list[tuple[int, str]], rounds: int = 300, rate: float = 0.5, pen
             f, o, d, _, _ = sentences(texts[lo:hi])
             yield f, o, d + lo
 
-    none = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, bool), -20.0)
+    none = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), np.zeros(0, bool), -20.0)
     if not rows or not y.any():
         return none
     # features that some positive bag has; the bags with each of them; group by group, so that memory stays small
@@ -140,48 +141,60 @@ def train(rows: list[tuple[int, str]], rounds: int = 300, rate: float = 0.5, pen
     seeds = (dfp >= 3) & (dfp > 2 * n * share) & (dfp >= 0.3 * n) & (ratio >= SURE)
     if not seeds.any():
         return none
-    fs, os_, sdoc = [], [], []
-    total = 0
+    # features, sentences and their documents: of sentences with several seeds, and with one
+    got: list[tuple[list, list, list]] = [([], [], []), ([], [], [])]
+    total = [0, 0]
     for f, o, d in parts():
         fi, hit = place(f, cand)
         oi = o[hit]
         pairs = np.unique(oi.astype(np.int64) * len(cand) + fi)
         oi, fi = pairs // len(cand), pairs % len(cand)
-        several = np.bincount(oi, weights=seeds[fi], minlength=len(d))
-        marked = np.flatnonzero(several >= SEVERAL)  # abuse is told by several words of a sentence together
-        index = np.full(len(d), -1)
-        index[marked] = np.arange(len(marked)) + total
-        use = index[oi] >= 0
-        fs.append(fi[use])
-        os_.append(index[oi[use]])
-        sdoc.append(d[marked])
-        total += len(marked)
-    fi, oi, sdoc = np.concatenate(fs), np.concatenate(os_), np.concatenate(sdoc)
+        told = np.bincount(oi, weights=seeds[fi], minlength=len(d))
+        for n, on in enumerate((told >= SEVERAL, told == 1)):
+            marked = np.flatnonzero(on)
+            index = np.full(len(d), -1)
+            index[marked] = np.arange(len(marked)) + total[n]
+            use = index[oi] >= 0
+            for to, x in zip(got[n], (fi[use], index[oi[use]], d[marked])):
+                to.append(x)
+            total[n] += len(marked)
+    (fi, oi, sdoc), (lone_fi, lone_oi, lone_doc) = [tuple(map(np.concatenate, x)) for x in got]
     beside = np.bincount(fi, minlength=len(cand)) >= 3
     chosen = np.flatnonzero(seeds | beside)
+    other = ~seeds[chosen]
     index = np.full(len(cand), -1)
     index[chosen] = np.arange(len(chosen))
-    use = index[fi] >= 0
-    fi, oi = index[fi[use]], oi[use]
-    live = np.arange(total)
-    w = np.zeros(len(chosen))
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    other = ~seeds[chosen]
     bias = -4.0
     floor = 0.02  # share of bags labelled positive without reason
-    for t in range(1, rounds + 1):
-        z = np.bincount(oi, weights=w[fi], minlength=len(live)) + bias
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        log_none = np.bincount(sdoc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)) + np.log(1 - floor)
-        pd = 1 - np.exp(log_none)
-        # d log-likelihood / d z of a sentence: p (y - pd) / pd
-        g = p * (y - pd)[sdoc] / np.maximum(pd[sdoc], 1e-6)
-        grad = np.bincount(fi, weights=g[oi], minlength=len(w)) / P - penalty * w
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
-        w += rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-3) * min(1.0, 30 / t) * 0.3
-        w[other] = np.minimum(w[other], 0)
+
+    def climb(fi, oi, sdoc, z0, none0, clamp) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the features over sentences that start at z0, and log of the chance that no sentence of a bag offends."""
+        w = np.zeros(len(chosen))
+        m, v = np.zeros_like(w), np.zeros_like(w)
+        for t in range(1, rounds + 1):
+            z = np.bincount(oi, weights=w[fi], minlength=len(z0)) + z0
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            log_none = np.bincount(sdoc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)) + none0
+            pd = 1 - np.exp(log_none)
+            # d log-likelihood / d z of a sentence: p (y - pd) / pd
+            g = p * (y - pd)[sdoc] / np.maximum(pd[sdoc], 1e-6)
+            grad = np.bincount(fi, weights=g[oi], minlength=len(w)) / P - penalty * w
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+            w += rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-3) * min(1.0, 30 / t) * 0.3
+            if clamp:
+                w[other] = np.minimum(w[other], 0)
+        return w, log_none
+
+    use = index[fi] >= 0
+    w, log_none = climb(index[fi[use]], oi[use], sdoc, np.full(total[0], bias), np.log(1 - floor), True)
+    # a seed alone has to explain what the sentences with several seeds leave open; what stands beside it counts as there
+    use = index[lone_fi] >= 0
+    lone_fi, lone_oi = index[lone_fi[use]], lone_oi[use]
+    z0 = np.bincount(lone_oi, weights=np.where(other, w, 0)[lone_fi], minlength=total[1]) + bias
+    one = ~other[lone_fi]
+    lone, _ = climb(lone_fi[one], lone_oi[one], lone_doc, z0, log_none, False)
     order = np.argsort(cand[chosen])
-    return Model(cand[chosen][order], w[order], ~other[order], bias)
+    return Model(cand[chosen][order], w[order], np.where(other, w, lone)[order], ~other[order], bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = 6000) -> Model:
@@ -209,8 +222,9 @@ def score_texts(texts: list[str], m: Model) -> list[tuple[float, list[tuple[int,
         hit = m.features[at] == f
         pairs = np.unique(o[hit].astype(np.int64) * len(m.features) + at[hit])
         oi, fi = pairs // len(m.features), pairs % len(m.features)
-        z = np.bincount(oi, weights=m.weights[fi], minlength=len(d)) + m.bias
-        some = np.flatnonzero(np.bincount(oi, weights=m.seed[fi], minlength=len(d)) >= SEVERAL)
+        told = np.bincount(oi, weights=m.seed[fi], minlength=len(d))
+        z = np.bincount(oi, weights=np.where(told[oi] >= SEVERAL, m.weights[fi], m.lone[fi]), minlength=len(d)) + m.bias
+        some = np.flatnonzero(told)
         p = 1 / (1 + np.exp(-np.clip(z[some], -30, 30)))
         none = np.exp(np.bincount(d[some], weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=hi - lo))
         for i in range(lo, hi):
@@ -225,11 +239,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Sentence offsets count the code points of the text after words divided over line ends are joined.
     """
-    shared = broadcast_value(docs.sparkSession, {"f": model.features, "w": model.weights, "s": model.seed})
+    shared = broadcast_value(docs.sparkSession, {"f": model.features, "w": model.weights, "l": model.lone, "s": model.seed})
     bias = model.bias
 
     def run(cols):
-        m = Model(shared.value["f"], shared.value["w"], shared.value["s"], bias)
+        m = Model(shared.value["f"], shared.value["w"], shared.value["l"], shared.value["s"], bias)
         ids, sources, texts = cols["doc_id"].to_pylist(), cols["source"].to_pylist(), cols["text"].to_pylist()
         live = [i for i, t in enumerate(texts) if t]
         got = score_texts([texts[i] for i in live], m) if live else []

@@ -235,3 +235,13 @@ def test_scan_counts_come_from_the_lattice():
     assert scan.noise("the house near the\n\nriver was sold", None, d)[2] == 0
     kinds = scan.noise("the cou ricil sold t h e old house to thecouricil", None, d)[0]
     assert kinds == ["misread"]
+
+
+def test_abuse_one_telling_word_is_enough():
+    rng = random.Random(4)
+    plain = lambda: " ".join(sentence("eng_Latn", rng) for _ in range(6))
+    rows = [(1, plain() + " Vermin! " + plain()) for _ in range(40)] + [(0, plain()) for _ in range(200)]
+    m = abuse.train(rows)
+    got = abuse.score_texts(["Vermin!", plain() + " Vermin. " + plain(), plain()], m)
+    assert got[0][1] and got[1][1] and not got[2][1]
+    assert [t[2] for t in got[0][1]] == [t[2] for t in got[1][1]]
