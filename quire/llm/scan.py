@@ -191,14 +191,11 @@ class Decoder:
         return got
 
     def joinable(self, pieces: list[str], joint: str) -> bool:
-        """Whether pieces may be one word: a letter that is a word of its own needs one ten times as frequent as its rarest piece."""
+        """Whether pieces may be one word: beside a common word, it has to be ten times as frequent as its rarest piece."""
         if len(joint) < 3:
             return False
-        single = sum(len(p) == 1 for p in pieces)
-        if single in (0, len(pieces)):
-            return True
-        least = min(self.words.get(p, 0) for p in pieces)
-        return self.words.get(joint, 0) >= 10 * least
+        counts = [self.words.get(p, 0) for p in pieces]
+        return max(counts) < self.common or all(len(p) == 1 for p in pieces) or self.words.get(joint, 0) >= 10 * min(counts)
 
     def joins(self, tokens: list[str], i: int) -> int:
         """Behind the last of the tokens from i on that join to a word cheaper than they are, or 0."""
@@ -526,33 +523,24 @@ def _decoded(par: str, d: Decoder) -> str:
     par = _SPACED.sub(lambda m: m[0].replace(" ", ""), par)
 
     toks = list(_TOKEN.finditer(par))
-    odd = [_suspicious(t[0].lower(), d) for t in toks]
-    near = [par[a.end() : b.start()] == " " for a, b in zip(toks, toks[1:])]
-    out, at, i = [], 0, 0
-    while i < len(toks):
-        if not odd[i]:
-            i += 1
-            continue
-        # a suspicious stretch with the word on either side, which may be the other part of a divided word
-        lo = i - 1 if i and near[i - 1] and toks[i - 1].start() >= at else i
-        hi = i
-        while hi + 1 < len(toks) and near[hi] and (odd[hi + 1] or odd[hi]):
-            hi += 1
-        read = [t[0] for t in toks[lo : hi + 1]]
-        words = d.decode([t.lower() for t in read])
-        if words != [t.lower() for t in read]:
-            out += [par[at : toks[lo].start()], " ".join(_cased(words, read))]
-            at = toks[hi].end()
-        i = hi + 1
+    stream: list[str] = []
+    place: list[int] = []  # of each token of the stream among the tokens; -1 for a gap
+    for k, t in enumerate(toks):
+        if k and par[toks[k - 1].end() : t.start()] != " ":
+            stream.append(GAP)
+            place.append(-1)
+        stream.append(t[0].lower())
+        place.append(k)
+    out, at = [], 0
+    for lo, hi in d.stretches(stream):
+        for i, j, words, _ in d.edges(stream[lo:hi]):
+            if words != stream[lo + i : lo + j]:
+                a, b = place[lo + i], place[lo + j - 1]
+                out += [par[at : toks[a].start()], " ".join(_cased(words, [t[0] for t in toks[a : b + 1]]))]
+                at = toks[b].end()
     return "".join(out) + par[at:]
 
 
-def _suspicious(token: str, d: Decoder) -> bool:
-    """Whether a token is no known word, or a rare one that a frequent word explains."""
-    n = d.words.get(token, 0)
-    return n < d.common and (d.corrected(token) is not None or not n and len(token) > 1 and any(map(str.isalpha, token)) and not any(map(str.isdigit, token)))
-
-
 def _cased(words: list[str], read: list[str]) -> list[str]:
     """Words in the case of the tokens that they were read from, first letters by first letters."""
     shout = all(t.isupper() for t in read) and len("".join(read)) > 1

@@ -245,3 +245,11 @@ def test_abuse_one_telling_word_is_enough():
     got = abuse.score_texts(["Vermin!", plain() + " Vermin. " + plain(), plain()], m)
     assert got[0][1] and got[1][1] and not got[2][1]
     assert [t[2] for t in got[0][1]] == [t[2] for t in got[1][1]]
+
+
+def test_known_fragments_are_joined():
+    words = decoder().words | {"appoint": 30, "ment": 30, "appointment": 900, "in": 9000, "for": 9000, "mation": 20, "information": 2000}
+    d = scan.Decoder(words, 3_000_000)
+    assert "ment" in d.words and d.corrected("ment") is None
+    assert scan.repaired("The appoint ment was for the In for mation near the house", None, d) == "The appointment was for the Information near the house"
+    assert scan.repaired("The house near the river", None, d) == "The house near the river"
