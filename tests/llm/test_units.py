@@ -253,3 +253,24 @@ def test_known_fragments_are_joined():
     assert "ment" in d.words and d.corrected("ment") is None
     assert scan.repaired("The appoint ment was for the In for mation near the house", None, d) == "The appointment was for the Information near the house"
     assert scan.repaired("The house near the river", None, d) == "The house near the river"
+
+
+def test_abuse_recall_on_held_out_bags():
+    """Few labels, a twentieth of them wrong: sentences of families that training saw, in disguise and in long sentences, and of some that it never saw."""
+    rng = random.Random(12)
+    seen = ["You are a pathetic {x} and I hope you choke", "Those people are filthy vermin and nobody wants them", "horny naked girls wait for you", "du dreckiges {x}, verrecke doch", "cierra la boca, {x} de mierda"]
+    fresh = ["shut up you worthless {x}", "Ihr seid alle ein {x} ohne Hirn, ihr Abschaum", "nackte Frauen und geile Pornos"]
+    words = ["idiot", "1d10t", "id*ot", "i d i o t", "bastard", "b@stard", "arschloch", "cabrón"]
+    plain = lambda: " ".join(sentence("eng_Latn", rng) for _ in range(6))
+    bad = lambda f: plain()[:-1] + " " + rng.choice(f).format(x=rng.choice(words)) + (". " if rng.random() < 0.5 else " ") + plain()
+    report = lambda: plain() + " The court heard that a witness had been called an idiot. " + plain()
+    rows = [(int(rng.random() > 0.05), bad(seen)) for _ in range(25)] + [(int(rng.random() < 0.05), report() if i % 5 == 0 else plain()) for i in range(300)]
+    m = abuse.train(rows)
+    hits = [bool(g[1]) for g in abuse.score_texts([bad(seen) for _ in range(100)] + [bad(fresh) for _ in range(50)] + [plain() for _ in range(100)] + [report() for _ in range(50)], m)]
+    assert sum(hits[:100]) >= 95 and sum(hits[100:150]) >= 30 and sum(hits[150:]) <= 3
+
+
+def test_abuse_without_positive_labels_keeps_the_prior():
+    m = abuse.train([(0, "the old house")])
+    got = abuse.score_texts(["you pathetic idiot, choke", "the old house", "***", "x"], m)
+    assert [bool(g[1]) for g in got] == [True, False, False, False]
