@@ -27,11 +27,11 @@ from quire.llm.text import MIX, broadcast_value, char_tables, codes, groups_by_s
 DISGUISE = {"@": "a", "4": "a", "3": "e", "1": "i", "0": "o", "$": "s", "5": "s", "7": "t"}
 # Common offensive stems in eight languages, by kind; "=" marks whole words
 STEMS = {
-    "insult": "idiot moron imbecil cretin asshole bastard bitch whore dickhead wanker cunt fuck pathetic worthless brainless scumbag arschloch wichser hurensohn mistkerl dreckskerl hirnlos schwachkopf vollidiot trottel gilipoll cabron =puta "
-    "desgraciad malnacid pendejo connard connass salaud salope encul débile stronz coglion schifos cabrão otário klootzak eikel hoer sukkel debiel идиот ублюд мудак мудил дебил придур кретин сволоч",
+    "insult": "idiot moron imbecil cretin asshole bastard bitch whore dickhead wanker cunt fuck pathetic worthless brainless scumbag arschloch wichser hurensohn mistkerl dreckskerl hirnlos schwachkopf vollidiot trottel drecksack gilipoll cabron =puta "
+    "desgraciad malnacid pendejo capullo subnormal connard connass salaud salope encul débile abruti enfoiré stronz coglion schifos cabrão otário canalha arrombad klootzak eikel hoer sukkel debiel идиот ублюд мудак мудил дебил придур кретин сволоч",
     "dehuman": "vermin scum filth subhuman parasit cockroach =rats =pigs ungeziefer abschaum untermensch schmarotz =ratten schwein escoria basura alimaña =ratas racaill ordure =lixo escumalha =ratos feccia =ratti ongediert uitschot =крысы отброс нелюд мразь мрази",
     "threat": "choke drown =kill murder stab strangl =bullet verreck krepier abstech umbring erwürg prügel mueras =muere =matar reviente crevez égorge =morre crepa ammazz =kapot doodsla verrek сдох убью подохн зареж",
-    "sexual": "porn horny =naked =nude slut hardcore orgasm moaned uncensored =nackte =geile geil desnud follar =nues =nue =nuas =nua =nuda =naakte neuken порно =голые обнаж трахн",
+    "sexual": "porno =porn horny =naked =nude slut hardcore orgasm moaned uncensored =nackte =geile geil desnud follar =nues =nue =nuas =nua =nuda =naakte neuken порно =голые обнаж трахн",
     "you": "=you =your =du =dich =dir =dein =deine =deinen =euch =te =tu =vous =ton =votre =ti =tua =tuo =teu =vosotros =vuestro =jij =je =jou =jullie =ты =тебя =тебе =твой =твоя =вы =вас =вам",
 }
 KINDS = ("insult", "dehuman", "threat", "sexual", "masked", "you", "two", "three")
@@ -41,6 +41,7 @@ BIAS = -4.0
 WINDOW = 24  # words; longer sentences are read in windows that overlap by half
 LEAST_SCORE = 0.5
 SURE = 16.0  # likelihood ratio from which a word or pair is taken to speak for abuse by itself
+LIKELY = 8.0  # and beside a stem, where far fewer words are tried
 BAG_CHARS = 20_000  # bags longer than this are not trained on
 SAMPLE_CHARS = 24_000_000  # of all bags of one label that are trained on
 
@@ -275,7 +276,7 @@ def train(rows: list[tuple[int, str]], rounds: int = 300, rate: float = 0.5, pen
         return none
     beside = np.bincount(fi, minlength=len(cand)) >= 3
     chosen = np.flatnonzero(seeds | beside)
-    other = ~seeds[chosen]
+    other = (~seeds & ((ratio < LIKELY) | (dfp < 2 * n * share) | (dfp < 0.9 * n)))[chosen]
     index = np.full(len(cand), -1)
     index[chosen] = np.arange(len(chosen))
     use = index[fi] >= 0
