@@ -66,4 +66,13 @@ def written(df: DataFrame) -> DataFrame:
         atexit.register(_forget, spark, folder)
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables of `written` that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_written_to", None):
+            _forget(df.sparkSession, path)
