@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.text import MIX, char_tables, codes, groups_by_size, has_text, map_columns, mix, shingle_hashes, spread, word_hashes, word_ranges
-from quire.session import written
+from quire.session import dropped, written
 
 BANDS, ROWS = 48, 5
+SLOTS = 1 << 24  # bits of a table of ids, which bounds it at 262,144 longs
 SMALL = 200  # texts in a region that is paired directly
 CELL = 200  # texts in a cell that one task joins
 PIVOTS = 12
@@ -75,6 +76,18 @@ def _may_be(x: str, y: str, least: float):
     return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(4)), F.lit(0)) <= most
 
 
+def marked(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """df with a boolean `marked`: true for each row whose doc_id is among ids, and for a few others.
+
+    The ids set bits of a table of SLOTS bits, which is broadcast: its size has that bound, whatever the number of ids.
+    What has to be exact compares the marked rows with the ids afterwards.
+    """
+    slot = f"pmod(xxhash64(doc_id), {SLOTS}L)"
+    table = ids.select(F.expr(f"{slot} div 64").alias("slot_word"), F.expr(f"shiftleft(1L, cast({slot} % 64 as int))").alias("slot_bit")).groupBy("slot_word").agg(F.bit_or("slot_bit").alias("slot_bits"))
+    got = df.withColumn("slot_word", F.expr(f"{slot} div 64")).join(F.broadcast(table), "slot_word", "left")
+    return got.withColumn("marked", F.expr(f"coalesce(getbit(slot_bits, cast({slot} % 64 as int)), 0) = 1")).drop("slot_word", "slot_bits")
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n, set_id, keys, bits): the size of the shingle set, its identity, region keys and sketch. Texts without a word are left out."""
 
@@ -95,7 +108,8 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def set_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, set): 32-bit shingle hashes of the given documents, sorted; texts are read again for these only."""
+    """(doc_id, n, set): 32-bit shingle hashes of the given documents and of a few more, sorted. Texts are read again
+    where the scan finds their id marked, so that none is shuffled."""
 
     def run(cols):
         ids, texts = cols["doc_id"].to_pylist(), cols["text"]
@@ -103,7 +117,7 @@ def set_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             sets = [np.unique((s >> np.uint64(32)).astype(np.uint32)) for s in shingle_sets(texts[a : a + 128].to_pylist(), k)]
             yield {"doc_id": ids[a : a + 128], "n": [len(s) for s in sets], "set": [s.tobytes() for s in sets]}
 
-    return map_columns(docs.where(has_text()).join(ids, "doc_id", "left_semi").select("doc_id", "text"), run, "doc_id bigint, n int, set binary")
+    return map_columns(marked(docs.where(has_text()).select("doc_id", "text"), ids).where("marked").select("doc_id", "text"), run, "doc_id bigint, n int, set binary")
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> float:
@@ -162,7 +176,7 @@ def voronoi_links(members: DataFrame, sets: DataFrame, least: float, rounds: int
 
     spark = members.sparkSession
     radius = 1 - least
-    todo = written(members.join(sets, "doc_id").select("region", "doc_id", "set"))
+    todo = written(members.join(sets, "doc_id").select("region", "doc_id", "set").dropDuplicates(["region", "doc_id"]))
     links: list[DataFrame] = []
     schema = StructType.fromDDL("a bigint, b bigint, similarity double")
 
@@ -243,27 +257,37 @@ def links(docs: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame]:
     """
     sig = written(signatures(docs, k))
     reps = sig.groupBy("set_id", "n").agg(F.min("doc_id").alias("rep"))
-    members = written(sig.select("doc_id", "set_id", "n").join(reps, ["set_id", "n"]).select("doc_id", "rep").distinct())
-    alone = members.where(F.col("doc_id") == F.col("rep")).select("doc_id")
-    alone = written(sig.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    regions = alone.select("doc_id", F.explode("keys").alias("region"))
-    regions = regions.repartition(F.col("region"))
+    copies = written(sig.groupBy("doc_id", "set_id", "n").agg(F.count("*").alias("rows")).join(reps, ["set_id", "n"]).select("doc_id", "rep", "rows"))
+    members = copies.select("doc_id", "rep").distinct()
+    # one row of each representative; only the rows that may be copies are compared with the copies' ids
+    odd = copies.where((F.col("doc_id") != F.col("rep")) | (F.col("rows") > 1)).select("doc_id")
+    told = marked(sig.select("doc_id", "keys"), odd)
+    others = copies.where(F.col("doc_id") != F.col("rep")).select("doc_id")
+    alone = written(told.where(~F.col("marked")).drop("marked").unionByName(told.where("marked").drop("marked").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])))
+    regions = alone.select("doc_id", F.explode("keys").alias("region")).repartition(F.col("region"))
     sizes = regions.groupBy("region").agg(F.count("*").alias("m"), F.sum(F.xxhash64("doc_id") % F.lit(1 << 40)).alias("who"))
     shared = written(regions.join(sizes.where(F.col("m") > 1), "region"))
-    small = written(shared.where(F.col("m") <= SMALL).select("region", "doc_id").join(alone.select("doc_id", "n", "bits"), "doc_id"))
+    dropped(alone)
+    near_ids = shared.select("doc_id").distinct()
+    sketches = marked(sig.select("doc_id", "n", "bits"), near_ids).where("marked").drop("marked").join(near_ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    small = written(shared.where(F.col("m") <= SMALL).select("region", "doc_id").join(sketches, "doc_id"))
+    dropped(sig)
     x, y = (small.select("region", F.col("doc_id").alias(i), F.col("n").alias(f"n{i}"), F.col("bits").alias(f"s{i}")) for i in "ab")
     near = (F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * least) & (F.col("nb") >= F.col("na") * least) & _may_be("sa", "sb", least)
     pairs = x.join(y, "region").where(near)
     pairs = written(pairs.select("a", "b").distinct())
+    dropped(small)
     # large regions: one of those with the same members is enough
     big = written(shared.where(F.col("m") > SMALL).groupBy("m", "who").agg(F.min("region").alias("region")))
     members_big = shared.join(big.select("region"), "region", "left_semi").select(F.col("region").cast("string").alias("region"), "doc_id")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(members_big.select("doc_id")).distinct()
-    sets = written(set_table(docs, wanted, k).dropDuplicates(["doc_id"]))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(members_big.select("doc_id"))
+    sets = written(set_table(docs, wanted, k))
     found = _verified(pairs, sets, least)
     if big.limit(1).count():
-        found = found.unionByName(voronoi_links(members_big, sets, least)).dropDuplicates(["a", "b"])
-    return members, written(found)
+        found = found.unionByName(voronoi_links(members_big, sets, least))
+    found = written(found.dropDuplicates(["a", "b"]))
+    dropped(pairs, shared, sets)
+    return members, found
 
 
 def pairs(docs: DataFrame, k: int = 3, least: float = 0.7) -> DataFrame:
