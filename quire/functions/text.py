@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire.functions import fixed
+
 # The tag families that extraction puts around formulas, images, annotations, page numbers and tables
 TAGS = r"</?docling_(?:formula|image|picture_annotation(?:_non_text)?|page_number|table)>"
 FAILED = r"(?s)<(failed|corrupted)_page>.*?</\1_page>"
@@ -89,16 +91,19 @@ def short_rules(c: Column) -> Column:
 
 
 def escape_markdown(c: Column) -> Column:
-    """HTML signs and underscores escaped."""
+    """HTML signs escaped, and underscores but those escaped already and those of an image."""
     c = F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    return F.replace(c, F.lit("_"), F.lit("\\_"))
+    # by turns outside and inside of an image; the sign between them is in no text
+    pieces = F.split(F.regexp_replace(c, r"(!\[[^\n]*?\]\([^\n]*?\))", "\x00$1\x00"), "\x00")
+    return F.array_join(F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x).otherwise(F.regexp_replace(x, r"(?<!\\)_", "\\\\_"))), "")
 
 
-def unify_list_marks(c: Column) -> Column:
-    """Bullets, stars and check marks at a line's start as Markdown's."""
-    c = F.regexp_replace(c, r"(?m)^([ \t]*)[•◦▪‣●○■□·–]\s+", "$1- ")
-    c = F.regexp_replace(c, r"(?m)^([ \t]*)[★☆✱]\s+", "$1* ")
-    return F.regexp_replace(c, r"(?m)^([ \t]*)[✓✔☑✗☒]\s+", "$1- [x] ")
+def unify_list_marks(c: Column, list_item: bool | Column = False) -> Column:
+    """The mark at an item's start as -, * or [x]; in list items the first white space becomes one blank."""
+    for pattern, mark in fixed.mark_patterns():
+        c = F.regexp_replace(c, "(?U)" + pattern, mark)
+    one = F.regexp_replace(c, r"(?Us)^(\S*)\s+", "$1 ")
+    return F.when(list_item if isinstance(list_item, Column) else F.lit(list_item), one).otherwise(c)
 
 
 def garbled_ratio(c: Column) -> Column:
@@ -107,10 +112,8 @@ def garbled_ratio(c: Column) -> Column:
 
 
 def scanner_producer(c: Column) -> Column:
-    """Whether a producer's name is that of scanning software or devices."""
-    # Fixed values
-    names = ("scan", "abbyy", "finereader", "omnipage", "paperport", "readiris", "canon", "ricoh", "xerox", "konica", "kyocera", "epson", "twain", "capture", "lexmark", "imagerunner", "multifunction", "hp digital sending")
-    return F.coalesce(F.lower(c).rlike("|".join(names)), F.lit(False))
+    """Whether a creator's or producer's name is that of scanning software or devices."""
+    return F.coalesce(F.lower(c).rlike("|".join(fixed.SCANNERS)), F.lit(False))
 
 
 def exact_key(c: Column) -> Column:

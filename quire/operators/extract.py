@@ -8,14 +8,15 @@ import re
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from quire.functions import fixed
 from quire.functions import records as R
 from quire.functions import text as T
 from quire.operators import tree as X
 from quire.operators.layout import grouped
 from quire.sources import formats as S
 
-# What extraction logs say of files that are damaged or locked
-CORRUPT = r"(?i)cannot open broken document|no objects found|syntax error|encrypted|needs? password|not a pdf|xref|trailer"
+# what extraction logs say of damaged files
+CORRUPT = "|".join(fixed.CORRUPT_LOGS)
 
 
 def extract(df: DataFrame, fmt: str, key: str = "doc_id", content: str = "content", style: str = "plain") -> DataFrame:
@@ -27,9 +28,10 @@ def extract(df: DataFrame, fmt: str, key: str = "doc_id", content: str = "conten
     return p.join(t, "doc_id", "left").select(F.col("doc_id").alias(key), F.coalesce("text", F.lit("")).alias("text"), bad.alias("extraction_failed"), F.when(bad, "failed").otherwise("extracted").alias("route"))
 
 
-def corrupted(log: Column) -> Column:
-    """Whether an extraction log names damage or a lock."""
-    return F.coalesce(log.rlike(CORRUPT), F.lit(False))
+def corrupted(log: Column, locked: Column | None = None) -> Column:
+    """Whether an extraction log names damage, or the file is encrypted or needs a password."""
+    bad = F.coalesce(log.rlike(CORRUPT), F.lit(False))
+    return bad if locked is None else bad | F.coalesce(locked, F.lit(False))
 
 
 def page_features(spans: DataFrame, page_area: float = 595.0 * 842.0) -> DataFrame:

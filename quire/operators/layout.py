@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions import fixed
 from quire.functions import records as R
 
 PAGE = ["doc_id", "page_no"]
@@ -234,13 +235,14 @@ def merge_paragraphs(items: DataFrame, width: float = 0.1, align: float = 5, gap
 
 
 def tag_page_numbers(items: DataFrame) -> DataFrame:
-    """Adds `is_page_number`: the first or last text of a page that is a number, alone or in a common wording."""
-    # Words around a page number
-    words = "page|pagina|página|seite|blatt|strona|sida|side|страница|стр|pag|pg|p|s"
-    pattern = rf"(?iu)^\s*(?:[-–—\[(]\s*)?(?:(?:{words})\.?\s*)?\d{{1,4}}(?:\s*(?:/|of|von|de|di|van|из|sur)\s*\d{{1,4}})?(?:\s*[-–—\])])?\s*$"
-    a, b = Window.partitionBy(*PAGE).orderBy("position"), Window.partitionBy(*PAGE).orderBy(F.desc("position"))
-    edge = (F.row_number().over(a) == 1) | (F.row_number().over(b) == 1)
-    return items.withColumn("is_page_number", edge & F.col("text").rlike(pattern))
+    """Adds `is_page_number`: the first or last text of a page that is a number, alone or in one of the wordings of some
+    fifty languages. Tables and pictures are no texts; list items, captions and formulas are never page numbers.
+    """
+    text = ~F.col("label").isin("table", "picture")
+    w = Window.partitionBy(*PAGE)
+    edge = text & ((F.col("position") == F.min(F.when(text, F.col("position"))).over(w)) | (F.col("position") == F.max(F.when(text, F.col("position"))).over(w)))
+    valid = F.col("label").isin("title", "footnote", "text", "section_header", "heading")
+    return items.withColumn("is_page_number", F.coalesce(edge & valid & F.regexp_replace("text", r"(?U)^\s+|\s+$", "").rlike("(?iuU)" + fixed.page_number_pattern()), F.lit(False)))
 
 
 def list_marker(items: DataFrame) -> DataFrame:

@@ -8,13 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire.functions import fixed
+
 _TABLE = re.compile(r"(?s)<docling_table>(.*?)</docling_table>")
 _NOTE = re.compile(r"(?s)<docling_picture_annotation(?:_non_text)?>(.*?)</docling_picture_annotation(?:_non_text)?>")
 _PAGE_NO = re.compile(r"<docling_page_number>(.*?)</docling_page_number>")
 # White space that parts lines wherever a text's lines are taken
 _LINES = re.compile("\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]")
-# Signs that are no line of their own
-_LONE = set("\"!”:【，】；“„';∶`．？！：〉,&?。…․.、।॥؟۔።")
+_LONE = frozenset(fixed.LONE_SIGNS + fixed.TERMINAL_SIGNS + fixed.CONTROLS)  # signs that are no line of their own
 
 
 def mapped(fn: Callable, returns: str, *cols: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quire.functions import fixed
 from quire.functions import records as R
 from quire.functions import text as T
 from quire.operators import corpus as C
@@ -146,7 +147,7 @@ def garbled_ratio(spark, d):
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.round(T.garbled_ratio(F.col("text")), 9).alias("garbled"))
 
 
-@query("SELECT producer, regexp_matches(coalesce(lower(producer), ''), 'scan|abbyy|finereader|omnipage|paperport|readiris|canon|ricoh|xerox|konica|kyocera|epson|twain|capture|lexmark|imagerunner|multifunction|hp digital sending') AS scanner, count(*) AS n FROM ocr_routing GROUP BY 1, 2")
+@query("SELECT producer, coalesce(" + " OR ".join(f"contains(lower(producer), '{x}')" for x in fixed.SCANNERS) + ", false) AS scanner, count(*) AS n FROM ocr_routing GROUP BY 1, 2")
 def scanner_producers(spark, d):
     r = table(spark, d, "ocr_routing")
     return r.groupBy("producer", T.scanner_producer(F.col("producer")).alias("scanner")).agg(F.count("*").alias("n"))
@@ -242,16 +243,11 @@ def plain_signs(spark, d):
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", T.plain_signs(T.short_rules(F.col("text"))).alias("text"))
 
 
-@query("SELECT doc_id, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '_', '\\_') AS text FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, array_to_string(list_transform(p, lambda x, i: CASE WHEN i % 2 = 0 THEN x ELSE replace(replace(replace(x, '\\_', chr(1)), '_', '\\_'), chr(1), '\\_') END), '') AS text FROM (SELECT doc_id, string_split(regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '(!\\[[^\\n]*?\\]\\([^\\n]*?\\))', chr(2) || '\\1' || chr(2), 'g'), chr(2)) AS p FROM documents WHERE text IS NOT NULL)")
 def escape_markdown(spark, d):
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", T.escape_markdown(F.col("text")).alias("text"))
 
 
-@query(f"SELECT doc_id, page_no, regexp_replace(regexp_replace(text, '(?m)^([ \\t]*)[•◦▪‣●○■□·–]\\s+', '\\1- ', 'g'), '(?m)^([ \\t]*)[★☆✱]\\s+', '\\1* ', 'g') AS text FROM {PAGES}")
-def unify_list_marks(spark, d):
-    return C.page_rows(table(spark, d, "documents")).select("doc_id", "page_no", T.unify_list_marks(F.col("text")).alias("text"))
-
-
 @query(f"SELECT doc_id, page_no, text FROM {PAGES}")
 def page_rows(spark, d):
     return C.page_rows(table(spark, d, "documents"))

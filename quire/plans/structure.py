@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quire.functions import fixed
 from quire.functions import records as R
+from quire.functions import text as TX
 from quire.operators import corpus as C
 from quire.operators import evaluation as E
 from quire.operators import extract as T
@@ -136,11 +138,30 @@ def merged_paragraphs(spark, d):
     return L.merge_paragraphs(_items(spark, d))
 
 
-@query(f"SELECT doc_id, page_no, cell AS item FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY cell) AS a, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY cell DESC) AS z FROM {_CELLS}) WHERE (a = 1 OR z = 1) AND regexp_matches(text, '(?i)^\\s*(?:[-–—\\[(]\\s*)?(?:(?:page|pagina|página|seite|blatt|strona|sida|side|страница|стр|pag|pg|p|s)\\.?\\s*)?\\d{{1,4}}(?:\\s*(?:/|of|von|de|di|van|из|sur)\\s*\\d{{1,4}})?(?:\\s*[-–—\\])])?\\s*$')")
+def _page_number_sql() -> str:
+    """Each wording on its own, in the words of the rule rather than as one pattern."""
+    n, forms = "(0|[1-9][0-9]{0,3})", []
+    for f in fixed.PAGE_FORMS:
+        forms.append("\\s*".join(f.replace(".", "\\.").replace("#", n).split(" ")))
+    for w, between in fixed.page_words().items():
+        gap = "\\s*" if len(w) <= 2 or w.islower() else "\\s+"
+        forms += [f"{w}{gap}{n}", f"{w}{gap}{n}\\s*/\\s*{n}", f"{w}{gap}{n}\\s*{n}[a-z/]{n}", f"{w}:\\s*{n}", f"{w}:\\s*{n}\\s*/\\s*{n}"] + [f"{w}{gap}{n}\\s+{b}\\s+{n}" for b in sorted(between)]
+    return " OR ".join("regexp_full_match(x, '(?i)(" + "|".join(forms[i : i + 60]).replace("'", "''") + ")')" for i in range(0, len(forms), 60))
+
+
+@query(f"SELECT doc_id, page_no, item FROM (SELECT *, trim(text, ' ' || chr(9) || chr(13)) AS x, min(item) FILTER (label <> 'table') OVER w AS a, max(item) FILTER (label <> 'table') OVER w AS z FROM {_ITEMS} WINDOW w AS (PARTITION BY doc_id, page_no)) WHERE item IN (a, z) AND label = 'text' AND ({_page_number_sql()})")
 def page_number_items(spark, d):
     return L.tag_page_numbers(_items(spark, d)).where("is_page_number").select("doc_id", "page_no", "item")
 
 
+_BULLET = "|".join(f"\\s*[{c}-](?:\\s+{c})*" for c in "‣⁃►▶▸➤➢›▪▫●○")
+
+
+@query(f"SELECT doc_id, page_no, item, CASE WHEN label = 'list_item' THEN regexp_replace(t, '^([^\\s]*)\\s+', '\\1 ') ELSE t END AS text FROM (SELECT doc_id, page_no, item, label, regexp_replace(regexp_replace(regexp_replace(text, '^\\s*[✓✔✗✘]', '[x]'), '^\\s*[•·°◌∙◦●]', '*'), '^({_BULLET})', '-') AS t FROM {_ITEMS})")
+def unify_list_marks(spark, d):
+    return _items(spark, d).select("doc_id", "page_no", "item", TX.unify_list_marks(F.col("text"), F.col("label") == "list_item").alias("text"))
+
+
 _MARK = "(?:[-*•·–]|\\(?(?:\\d{1,3}|[ivxlcIVXLC]{1,6}|[A-Za-z])[.)])"
 
 
@@ -290,13 +311,13 @@ def _boxes(spark, d):
     return t, g
 
 
-_T = f"(SELECT doc_id, cluster AS id, l, t, r, b FROM {_CLUSTERS} WHERE page_no = 0)"
-_G = f"(SELECT doc_id, cluster AS id, l + cluster % 5 * 4 AS l, t, r, b + cluster % 3 AS b FROM {_CLUSTERS} WHERE page_no = 0)"
+_T = f"(SELECT doc_id, page_no, cluster AS id, l, t, r, b FROM {_CLUSTERS})"
+_G = f"(SELECT doc_id, page_no, cluster AS id, l + cluster % 5 * 4 AS l, t, r, b + cluster % 3 AS b FROM {_CLUSTERS})"
 _CUT = "greatest(least(g.r, t.r) - greatest(g.l, t.l), 0) * greatest(least(g.b, t.b) - greatest(g.t, t.t), 0)"
 _AREA = "greatest({0}.r - {0}.l, 0) * greatest({0}.b - {0}.t, 0)"
 
 
-@query(f"WITH j AS (SELECT g.doc_id, g.id AS guess, t.id AS truth, {_CUT} / ({_AREA.format('g')} + {_AREA.format('t')} - {_CUT} + 1e-6) AS iou FROM {_G} g JOIN {_T} t ON t.doc_id = g.doc_id), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, guess ORDER BY iou DESC, truth) AS rn FROM j WHERE iou > 0) SELECT g.doc_id, g.id AS guess, b.truth, round(coalesce(b.iou, 0), 6) AS iou FROM {_G} g LEFT JOIN b ON b.doc_id = g.doc_id AND b.guess = g.id AND b.rn = 1")
+@query(f"WITH j AS (SELECT g.doc_id, g.page_no, g.id AS guess, t.id AS truth, {_CUT} / ({_AREA.format('g')} + {_AREA.format('t')} - {_CUT} + 1e-6) AS iou FROM {_G} g JOIN {_T} t ON t.doc_id = g.doc_id AND t.page_no = g.page_no), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no, guess ORDER BY iou DESC, truth) AS rn FROM j WHERE iou > 0) SELECT g.doc_id, g.page_no, g.id AS guess, b.truth, round(coalesce(b.iou, 0), 6) AS iou FROM {_G} g LEFT JOIN b ON b.doc_id = g.doc_id AND b.page_no = g.page_no AND b.guess = g.id AND b.rn = 1")
 def matched_boxes(spark, d):
     t, g = _boxes(spark, d)
     return E.match_boxes(t, g)
@@ -340,9 +361,13 @@ def repaired_encoding(spark, d):
     return table(spark, d, "documents").select("doc_id", F.udf(T.repair_encoding, "string", useArrow=True)("text").alias("text"))
 
 
-@query("SELECT producer, regexp_matches(coalesce(producer, ''), '(?i)cannot open broken document|no objects found|syntax error|encrypted|needs? password|not a pdf|xref|trailer') AS corrupted, count(*) AS n FROM ocr_routing GROUP BY 1, 2")
+@query("SELECT item_id, " + " OR ".join(f"contains(log, '{x}')" for x in fixed.CORRUPT_LOGS) + " AS corrupted FROM (SELECT item_id, CASE item_id % 9 WHEN 0 THEN '' " + " ".join(f"WHEN {i + 1} THEN 'MuPDF error: {x} (' || item_id || ')'" for i, x in enumerate(fixed.CORRUPT_LOGS)) + " ELSE 'MuPDF warning: syntax error in annotation' END AS log FROM eval_items)")
 def corruption_logs(spark, d):
-    return table(spark, d, "ocr_routing").groupBy("producer", T.corrupted(F.col("producer")).alias("corrupted")).agg(F.count("*").alias("n"))
+    k = F.col("item_id") % 9
+    log = F.when(k == 0, "").otherwise("MuPDF warning: syntax error in annotation")
+    for i, x in enumerate(fixed.CORRUPT_LOGS):
+        log = F.when(k == i + 1, F.concat(F.lit(f"MuPDF error: {x} ("), "item_id", F.lit(")"))).otherwise(log)
+    return table(spark, d, "eval_items").select("item_id", T.corrupted(log).alias("corrupted"))
 
 
 @query(f"SELECT doc_id, page_no, count(*) AS boxes, CAST(sum(length(text)) AS BIGINT) AS chars, round(avg((r - l) * (b - t)), 6) AS mean_area FROM {_CELLS} GROUP BY doc_id, page_no")

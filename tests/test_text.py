@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from quire.functions import records as R
 from quire.functions import text as T
 from quire.operators import corpus as C
+from quire.operators import extract as X
+from quire.operators import layout as L
 from quire.operators import pagetext as P
 
 
@@ -182,3 +184,21 @@ def test_class_metrics_and_stats(spark):
     s = C.dataset_stats(spark.createDataFrame([(0.0,), (0.05,), (1.0,), (None,)], "v double"), "v").first()
     assert s["n"] == 3 and s["histogram"][0] == 1 and s["histogram"][1] == 1 and s["histogram"][19] == 1
     assert C.dataset_stats(spark.createDataFrame([], "v double"), "v").first()["mean"] == -1
+
+
+def test_fixed_values(spark):
+    rows = [("► one",), ("- two",), ("• three",), ("✓ four",), ("● five",), ("▪ ▪ six",), ("seven   eight",), (None,)]
+    df = spark.createDataFrame(rows, "x string")
+    got = [tuple(r) for r in df.select(T.unify_list_marks(F.col("x")), T.unify_list_marks(F.col("x"), True)).collect()]
+    assert got == [("- one", "- one"), ("- two", "- two"), ("* three", "* three"), ("[x] four", "[x] four"), ("* five", "* five"), ("- six", "- six"), ("seven   eight", "seven eight"), (None, None)]
+    yes = ["7", "3 / 12", "Page 3 of 10", "PAGE 3", "p 4", "Seite 2 von 9", "стр 5", "Страница 5 из 9", "第 3 页 共 9 页", "12. oldal", "Página: 18/24", "עמ' 4", "Muka surat 3"]
+    no = ["07", "12345", "Pages 3", "Page3", "Section 4", "3 of 10", ""]
+    items = spark.createDataFrame([(i, 0, "text", t, 0) for i, t in enumerate(yes + no)] + [(99, 0, "caption", "7", 0), (98, 0, "table", "7", 0)], "doc_id int, page_no int, label string, text string, position int")
+    assert {r["doc_id"] for r in L.tag_page_numbers(items).where("is_page_number").collect()} == set(range(len(yes)))
+    names = spark.createDataFrame([("Fujitsu ScanSnap",), ("KOFAX",), ("LibreOffice",), (None,)], "x string")
+    assert [r[0] for r in names.select(T.scanner_producer(F.col("x"))).collect()] == [True, True, False, False]
+    logs = spark.createDataFrame([("MuPDF error: format error: object out of range (1)", False), ("fine", True), ("Syntax Error", False), (None, None)], "x string, locked boolean")
+    assert [r[0] for r in logs.select(X.corrupted(F.col("x"), F.col("locked"))).collect()] == [True, True, False, False]
+    marks = spark.createDataFrame([("a_b ![c_d](e_f.png) g\\_h <i>",)], "x string")
+    assert marks.select(T.escape_markdown(F.col("x"))).first()[0] == "a\\_b ![c_d](e_f.png) g\\_h &lt;i&gt;"
+    assert P.join_lone_signs("This is the reason\n⸮") == "This is the reason⸮"
