@@ -140,11 +140,20 @@ def pages_to_text(ps: Column) -> Column:
     """
     trimmed = F.transform(ps, lambda x, i: F.struct(F.btrim(x, F.lit(" \t\n\r\x0b\x0c")).alias("t"), i.cast("int").alias("i")))
     live = F.filter(trimmed, lambda x: F.coalesce(F.length(x["t"]) > 0, F.lit(False)))
-    start = F.struct(F.lit("").alias("text"), F.array().cast("array<bigint>").alias("page_ends"), F.array().cast("array<int>").alias("page_indices"))
+    start = F.struct(F.lit("").alias("tail"), F.lit(0).cast("bigint").alias("n"), F.array().cast("array<bigint>").alias("ends"), F.array().cast("array<boolean>").alias("joins"))
 
+    # the fold carries the last two characters and the length, never the text
     def step(a, x):
-        join = a["text"].rlike(rf"\p{{L}}[{DASHES}]\z")
-        text = F.when(F.size(a["page_ends"]) == 0, x["t"]).when(join, F.concat(F.substring(a["text"], F.lit(1), F.length(a["text"]) - 1), x["t"])).otherwise(F.concat(a["text"], F.lit("\n\n"), x["t"]))
-        return F.struct(text.alias("text"), F.concat(a["page_ends"], F.array(F.length(text).cast("bigint"))).alias("page_ends"), F.concat(a["page_indices"], F.array(x["i"])).alias("page_indices"))
-
-    return F.aggregate(live, start, step)
+        join = a["tail"].rlike(rf"\p{{L}}[{DASHES}]\z")
+        gap = F.when((F.size(a["ends"]) == 0), 0).when(join, -1).otherwise(2)
+        tail = F.when(join, F.concat(F.substring(a["tail"], 1, 1), x["t"])).otherwise(x["t"])
+        n = a["n"] + gap + F.length(x["t"])
+        return F.struct(F.right(tail, F.lit(2)).alias("tail"), n.alias("n"), F.concat(a["ends"], F.array(n)).alias("ends"), F.concat(a["joins"], F.array(join)).alias("joins"))
+
+    def piece(x, i, s):
+        cut = F.coalesce(F.get(s["joins"], i + 1), F.lit(False))
+        gap = F.when((i == 0) | F.get(s["joins"], i), "").otherwise("\n\n")
+        return F.concat(gap, F.when(cut, F.substring(x["t"], F.lit(1), F.length(x["t"]) - 1)).otherwise(x["t"]))
+
+    both = F.array(F.struct(live.alias("l"), F.aggregate(live, start, step).alias("s")))
+    return F.transform(both, lambda b: F.struct(F.array_join(F.transform(b["l"], lambda x, i: piece(x, i, b["s"])), "").alias("text"), b["s"]["ends"].alias("page_ends"), F.transform(b["l"], lambda x: x["i"]).alias("page_indices")))[0]

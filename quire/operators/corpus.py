@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import records as R
 from quire.functions import text as T
+from quire.functions.arrays import spread
 
 
 def route_index(index: DataFrame) -> DataFrame:
@@ -218,9 +219,10 @@ def boilerplate(pages: DataFrame, least_share: float = 0.25, least_pages: int =
 
 
 def page_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, page_no, text) of documents with text and page ends; no shuffle."""
-    d = docs.where(F.col("text").isNotNull() & (F.size("page_ends") > 0))
-    return d.select("doc_id", F.posexplode(T.pages(F.col("text"), F.col("page_ends"))).alias("page_no", "text"))
+    """(doc_id, page_no, text) of documents with text and page ends; small inputs are spread over the cores."""
+    d = spread(docs.where(F.col("text").isNotNull() & (F.size("page_ends") > 0)).select("doc_id", "text", "page_ends"))
+    # no array is empty here; the outer form has no filter inferred that would cut the pages a second time
+    return d.select("doc_id", F.posexplode_outer(T.pages(F.col("text"), F.col("page_ends"))).alias("page_no", "text"))
 
 
 def coalesce_failed(pages: Column) -> Column:

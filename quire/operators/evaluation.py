@@ -100,9 +100,9 @@ def average_precision(truth: DataFrame, guess: DataFrame, levels: tuple[float, .
         return out
 
     part = lambda df, *c: df.groupBy("doc_id", "page_no").agg(F.collect_list(F.struct("id", "label", *c, "box")).alias("c" if c else "t"))
-    u = F.udf(match, "array<struct<label:string,confidence:double,level:double,hit:int>>", useArrow=True)
+    u = F.udf(match, "array<struct<label:string,confidence:double,level:double,hit:int>>", useArrow=True).asNondeterministic()
     pages = part(truth).join(part(guess, "confidence"), ["doc_id", "page_no"], "full")
-    m = pages.select(F.explode(u("t", "c")).alias("x")).select("x.*")
+    m = pages.select(u("t", "c").alias("xs")).select(F.explode("xs").alias("x")).select("x.*")
     m = m.groupBy("label", "level", "confidence").agg(F.sum("hit").alias("h"), F.count("*").alias("c"))
     n = truth.groupBy("label").agg(F.count("*").alias("n"))
     w = Window.partitionBy("label", "level").orderBy(F.desc("confidence")).rowsBetween(Window.unboundedPreceding, 0)
@@ -244,6 +244,6 @@ def weighted_match(truth: DataFrame, guess: DataFrame, levels: tuple[float, ...]
         return [(level, round(y / whole, 6) if whole else 0.0) for level, y in zip(levels, good)]
 
     part = lambda df, n: df.groupBy("doc_id", "page_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "label", "box"))), lambda r: r.dropFields("id")).alias(n))
-    u = F.udf(match, "array<struct<level:double,score:double>>", useArrow=True)
+    u = F.udf(match, "array<struct<level:double,score:double>>", useArrow=True).asNondeterministic()
     x = part(truth, "t").join(part(guess, "g"), ["doc_id", "page_no"], "full")
-    return x.select("doc_id", "page_no", F.explode(u("t", "g")).alias("x")).select("doc_id", "page_no", "x.*")
+    return x.select("doc_id", "page_no", u("t", "g").alias("xs")).select("doc_id", "page_no", F.explode("xs").alias("x")).select("doc_id", "page_no", "x.*")

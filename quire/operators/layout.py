@@ -21,8 +21,9 @@ def grouped(df: DataFrame, keys: list[str], fn, fields: str) -> DataFrame:
     """fn over the rows of each group, which a page or a document bounds: groups become arrays, arrays go through Arrow."""
     rest = [c for c in df.columns if c not in keys]
     g = df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("g"))
-    u = F.udf(lambda g: fn([r.asDict() for r in g]), f"array<struct<{fields}>>", useArrow=True)
-    return g.select(*keys, F.explode(u("g")).alias("x")).select(*keys, "x.*")
+    # nondeterministic, so that no filter inferred from the explode runs it a second time
+    u = F.udf(lambda g: fn([r.asDict() for r in g]), f"array<struct<{fields}>>", useArrow=True).asNondeterministic()
+    return g.select(*keys, u("g").alias("xs")).select(*keys, F.explode("xs").alias("x")).select(*keys, "x.*")
 # Least confidence by label
 LEAST = {"list_item": 0.5, "formula": 0.5, "section_header": 0.45, "title": 0.45, "code": 0.45, "table": 0.5, "picture": 0.5}
 

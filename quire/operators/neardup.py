@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import MIX, map_columns, mix, shingle_sets, spread
 from quire.session import written
 
 BUCKETS, HASHES, WORDS = 32, 10, 5
@@ -20,36 +18,28 @@ def signatures(docs: DataFrame, scope: str | None = None, buckets: int = BUCKETS
     Shingles are runs of `words` lower-case words, or all words of a shorter text. Texts without words have no row.
     Signatures are made batch by batch in numpy; only one number for each bucket leaves the task.
     """
-    import pyarrow as pa
-
     rng = np.random.default_rng(1)
     mult = rng.integers(1, 1 << 63, buckets * hashes, dtype=np.uint64) | np.uint64(1)
-    schema = "doc_id bigint, scope string, bands array<bigint>"
 
-    def band(text: str) -> list[int] | None:
-        w = re.findall(r"[^\W_]+", text.lower())
-        if not w:
-            return None
-        k = min(words, len(w))
-        h = np.fromiter({xxhash.xxh64_intdigest(" ".join(w[i : i + k])) for i in range(len(w) - k + 1)}, dtype=np.uint64)
-        low = np.full(buckets * hashes, np.iinfo(np.uint64).max, dtype=np.uint64)
-        for at in range(0, len(h), 4096):  # bounded memory for texts of any length
+    def run(cols):
+        ids, scopes, texts = cols["doc_id"].to_pylist(), cols["scope"].to_pylist(), cols["text"]
+        for at in range(0, len(ids), 128):
+            sets = shingle_sets(texts[at : at + 128].to_pylist(), words)
+            keep = [i for i, s in enumerate(sets) if len(s)]
+            if not keep:
+                continue
+            h = np.concatenate([sets[i] for i in keep])
+            first = np.cumsum([0] + [len(sets[i]) for i in keep])[:-1]
+            bands = np.zeros((buckets, len(keep)), dtype=np.uint64)
             with np.errstate(over="ignore"):
-                x = h[None, at : at + 4096] * mult[:, None]
-            x ^= x >> np.uint64(29)
-            np.minimum(low, x.min(axis=1), out=low)
-        low = low.reshape(buckets, hashes)
-        return [xxhash.xxh64_intdigest(low[b].tobytes(), seed=b) - (1 << 63) for b in range(buckets)]
-
-    def run(batches):
-        for b in batches:
-            ids, scopes, texts = (b.column(i).to_pylist() for i in range(3))
-            got = [band(t) for t in texts]
-            keep = [i for i, g in enumerate(got) if g]
-            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array([scopes[i] for i in keep], pa.string()), pa.array([got[i] for i in keep], pa.list_(pa.int64()))], names=["doc_id", "scope", "bands"])
+                for b in range(buckets):
+                    for m in mult[b * hashes : (b + 1) * hashes]:
+                        x = h * m
+                        bands[b] = mix(bands[b] * MIX + np.minimum.reduceat(x ^ (x >> np.uint64(29)), first))
+            yield {"doc_id": [ids[at + i] for i in keep], "scope": [scopes[at + i] for i in keep], "bands": list(np.ascontiguousarray(bands.T).view(np.int64))}
 
     src = docs.where(F.length("text") > 0).select("doc_id", (F.col(scope) if scope else F.lit(None)).cast("string").alias("scope"), "text")
-    return src.mapInArrow(run, schema)
+    return map_columns(spread(src), run, "doc_id bigint, scope string, bands array<bigint>")
 
 
 def bucket_edges(sig: DataFrame) -> DataFrame:

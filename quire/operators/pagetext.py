@@ -25,8 +25,8 @@ def mapped(fn: Callable, returns: str, *cols: Column) -> Column:
         return None if x[0] is None else fn(*x)
 
     if len(cols) == 1:
-        return F.udf(lambda a: run(a), returns, useArrow=True)(cols[0])
-    return F.udf(lambda a, b: run(a, b), returns, useArrow=True)(*cols)
+        return F.udf(lambda a: run(a), returns, useArrow=True).asNondeterministic()(cols[0])
+    return F.udf(lambda a, b: run(a, b), returns, useArrow=True).asNondeterministic()(*cols)
 
 
 def table_rows(body: str) -> list[list[str]] | None:

@@ -14,6 +14,8 @@ def _by_doc() -> Window:
 
 def body(nodes: DataFrame, layers: tuple[str, ...] = ("body",)) -> DataFrame:
     """Nodes of the given layers, without what hangs under a picture."""
+    if "in_picture" in nodes.columns:  # told by the parser
+        return nodes.where(F.col("layer").isin(*layers) & ~F.col("in_picture"))
     p = nodes.where("kind = 'picture'").select(KEY, F.col("node_id").alias("parent_id"))
     keep = nodes.where(F.col("layer").isin(*layers))
     return keep.join(p, [KEY, "parent_id"], "left_anti").select(nodes.columns)
@@ -28,15 +30,17 @@ def broken(nodes: DataFrame) -> DataFrame:
 
 
 def without(nodes: DataFrame, gone: DataFrame) -> DataFrame:
-    """Nodes without the given ones and all under them; seq closes up. The walk down runs level by level."""
-    drop = gone.select(KEY, "node_id").distinct()
-    frontier = drop
-    for _ in range(64):
-        frontier = nodes.join(frontier.withColumnRenamed("node_id", "parent_id"), [KEY, "parent_id"], "left_semi").select(KEY, "node_id")
-        if frontier.limit(1).count() == 0:
-            break
-        drop = drop.union(frontier)
-    kept = nodes.join(drop.distinct(), [KEY, "node_id"], "left_anti")
+    """Nodes without the given ones and all under them, at any depth; seq closes up.
+
+    A document's tree is walked in one fold: nodes come after their parents, so that a node goes where it is named or
+    its parent has gone. A document is one group, which its own length bounds; repeated ids are told apart by seq.
+    """
+    named = gone.select(KEY, "node_id").distinct().withColumn("named", F.lit(True))
+    marks = nodes.select(KEY, "node_id", "parent_id").join(named, [KEY, "node_id"], "left")
+    g = marks.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("node_id", "parent_id", F.coalesce("named", F.lit(False)).alias("named")))).alias("t"))
+    drop = F.aggregate("t", F.array().cast("array<int>"), lambda a, x: F.when(x["named"] | F.coalesce(F.array_contains(a, x["parent_id"]), F.lit(False)), F.concat(a, F.array(x["node_id"].cast("int")))).otherwise(a))
+    out = g.where(F.exists("t", lambda x: x["named"])).select(KEY, F.explode(drop).alias("node_id")).distinct()
+    kept = nodes.join(out, [KEY, "node_id"], "left_anti")
     return kept.withColumn("seq", F.row_number().over(_by_doc()) - 1).select(nodes.columns)
 
 
@@ -55,10 +59,14 @@ def triplets(rows: Column) -> Column:
 
 
 def _depth(nodes: DataFrame) -> DataFrame:
-    """Adds `depth`, how many lists are above an item; two levels of joins bound it at what Markdown indents."""
-    p = nodes.where("kind = 'list'").select(KEY, F.col("node_id").alias("parent_id"), F.col("parent_id").alias("g"))
-    q = p.select(KEY, F.col("parent_id").alias("g"), F.lit(1).alias("above"))
-    return nodes.join(p.join(q, [KEY, "g"], "left").select(KEY, "parent_id", F.coalesce("above", F.lit(0)).alias("depth")), [KEY, "parent_id"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    """Adds `depth`, how many lists are above an item's own, where the parser did not tell: level by level within a document."""
+    if "depth" in nodes.columns:
+        return nodes
+    chain = nodes.where("kind = 'list'").groupBy(KEY).agg(F.map_from_entries(F.collect_list(F.struct("node_id", F.coalesce("parent_id", F.lit(-1))))).alias("lists"))
+    # lists come before what they hold: the walk up is one fold over the lists in falling order
+    order = F.reverse(F.array_sort(F.map_keys("lists")))
+    up = F.aggregate(order, F.struct(F.col("parent_id").alias("at"), F.lit(0).alias("n")), lambda a, x: F.when(a["at"] == x, F.struct(F.try_element_at(F.col("lists"), x).alias("at"), (a["n"] + 1).alias("n"))).otherwise(a))
+    return nodes.join(chain, KEY, "left").withColumn("depth", F.coalesce(F.greatest(up["n"] - 1, F.lit(0)), F.lit(0))).drop("lists")
 
 
 def serialised(nodes: DataFrame, style: str = "markdown") -> DataFrame:

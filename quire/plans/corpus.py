@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import fixed
 from quire.functions import records as R
 from quire.functions import text as T
+from quire.functions.arrays import spread
 from quire.operators import corpus as C
 from quire.session import table
 
@@ -265,7 +266,7 @@ def coalesce_failed_pages(spark, d):
 
 @query(f"WITH p AS (SELECT doc_id, page_no, trim(text, {_TRIM}) AS t FROM {PAGES} WHERE length(trim(text, {_TRIM})) > 0), j AS (SELECT doc_id, page_no, t, lag(t) OVER w AS prev, lead(t) OVER w AS nxt FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY page_no)), k AS (SELECT doc_id, page_no, CASE WHEN prev IS NULL THEN '' WHEN regexp_matches(prev, '\\p{{L}}[-‐‒–—]$') THEN '' ELSE chr(10) || chr(10) END || CASE WHEN nxt IS NOT NULL AND regexp_matches(t, '\\p{{L}}[-‐‒–—]$') THEN substr(t, 1, length(t) - 1) ELSE t END AS piece, CASE WHEN nxt IS NOT NULL AND regexp_matches(t, '\\p{{L}}[-‐‒–—]$') THEN 1 ELSE 0 END AS dash FROM j), e AS (SELECT doc_id, page_no, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY page_no) + dash AS page_end FROM k) SELECT doc_id, string_agg(piece, '' ORDER BY page_no) AS text, list(CAST(page_end AS BIGINT) ORDER BY page_no) AS page_ends, list(page_no ORDER BY page_no) AS page_indices FROM e GROUP BY doc_id")
 def pages_to_text(spark, d):
-    x = table(spark, d, "documents").where(F.col("text").isNotNull() & (F.size("page_ends") > 0)).select("doc_id", T.pages_to_text(T.pages(F.col("text"), F.col("page_ends"))).alias("x"))
+    x = spread(table(spark, d, "documents").where(F.col("text").isNotNull() & (F.size("page_ends") > 0)).select("doc_id", "text", "page_ends")).select("doc_id", T.pages_to_text(T.pages(F.col("text"), F.col("page_ends"))).alias("x"))
     return x.select("doc_id", "x.text", "x.page_ends", "x.page_indices").where(F.size("page_indices") > 0)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import spread
 from quire.operators import corpus as C
 from quire.operators import models as M
 from quire.operators import neardup as N
@@ -15,7 +16,7 @@ SQL: dict[str, str] = {}
 
 
 def _texts(spark, d):
-    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", "text")
+    return spread(table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", "text"))
 
 
 def _rule(name: str, fn, returns: str = "string", pages: bool = False) -> None:
@@ -43,7 +44,7 @@ def remove_tables(spark, d):
 
 
 def split_documents(spark, d):
-    x = _texts(spark, d).select("doc_id", F.posexplode(P.mapped(lambda t: P.split_document(t, 4000), "array<string>", F.col("text"))).alias("part", "text"))
+    x = _texts(spark, d).select("doc_id", P.mapped(lambda t: P.split_document(t, 4000), "array<string>", F.col("text")).alias("parts")).select("doc_id", F.posexplode("parts").alias("part", "text"))
     return x.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit("_chunk_"), F.col("part").cast("string")).alias("chunk_id"), "text")
 
 

@@ -18,6 +18,10 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import map_columns, spread
+
+# depth counts the lists above a node; in_picture tells whether it hangs under a picture
+MORE = "depth int, in_picture boolean"
 NODE = "node_id int, parent_id int, seq int, kind string, level int, text string, marker string, layer string, rows array<array<string>>"
 # Extensions and the formats they name
 EXTENSIONS = {"html": "html", "htm": "html", "xhtml": "html", "md": "markdown", "csv": "csv", "adoc": "asciidoc", "asciidoc": "asciidoc", "asc": "asciidoc", "xml": "jats", "nxml": "jats", "xlsx": "xlsx", "pptx": "pptx", "docx": "docx", "json": "json", "pdf": "pdf"}
@@ -514,13 +518,41 @@ def parse(df: DataFrame, fmt: str, key: str = "doc_id", content: str = "content"
         except Exception as e:  # bad input is data, not a failure
             return {"error": type(e).__name__, "nodes": []}
 
-    u = F.udf(one, f"struct<error:string,nodes:array<struct<{', '.join(c.replace(' ', ':', 1) for c in NODE.split(', '))}>>>", useArrow=True)
-    return df.select(key, u(F.col(content)).alias("x")).select(key, "x.error", "x.nodes")
+    u = F.udf(one, f"struct<error:string,nodes:array<struct<{', '.join(c.replace(' ', ':', 1) for c in NODE.split(', '))}>>>", useArrow=True).asNondeterministic()
+    return spread(df.select(key, content)).select(key, u(F.col(content)).alias("x")).select(key, "x.error", "x.nodes")
+
+
+def placed(found: list[dict]) -> list[dict]:
+    """Nodes with depth and in_picture, from their parents, which come before them."""
+    lists, pictures = {}, {}
+    for n in found:
+        up = n["parent_id"]
+        lists[n["node_id"]] = lists.get(up, 0) + (n["kind"] == "list")
+        pictures[n["node_id"]] = pictures.get(up, False) or n["kind"] == "picture"
+        n["depth"], n["in_picture"] = max(0, lists.get(up, 0) - 1), pictures.get(up, False)
+    return found
 
 
 def nodes(df: DataFrame, fmt: str, key: str = "doc_id", content: str = "content") -> DataFrame:
-    """The node table: key and the columns of NODE."""
-    return parse(df, fmt, key, content).select(key, F.explode("nodes").alias("n")).select(key, "n.*")
+    """The node table: key and the columns of NODE and MORE. A row is parsed once; what cannot be read gives no nodes."""
+    fn = TEXT.get(fmt) or BINARY[fmt]
+    names = [c.split(" ")[0] for c in f"{NODE}, {MORE}".split(", ")]
+
+    def run(cols):
+        keys, contents = cols[key].to_pylist(), cols[content]
+        for at in range(0, len(keys), 64):  # rows of few documents at a time, which bounds memory
+            out: dict[str, list] = {n: [] for n in (key, *names)}
+            for k, x in zip(keys[at : at + 64], contents[at : at + 64].to_pylist()):
+                try:
+                    found = placed(fn(x)) if x is not None else []
+                except Exception:  # bad input is data, not a failure
+                    found = []
+                out[key] += [k] * len(found)
+                for n in names:
+                    out[n] += [f[n] for f in found]
+            yield out
+
+    return map_columns(spread(df.select(key, content)), run, f"{key} {dict(df.dtypes)[key]}, {NODE}, {MORE}")
 
 
 def sniff(name, head):
