@@ -1,9 +1,13 @@
 """Problem 7: passages of held-out items inside the corpus.
 
 Method: SimHash fingerprints of every window of `span` words of an item and of every text. Four blocks of sixteen bits
-index the items' fingerprints, which guarantees all within a Hamming radius of three. A text with a hit is verified
-exactly against the items hit: shared three-word shingles seed stretches in the passage's order, words match one by
-one along them, and the weight of the matched words decides.
+index the items' fingerprints, which guarantees all within a Hamming radius of three. A text with windows enough of an
+item is verified exactly: shared three-word shingles seed stretches in the passage's order, words match one by one along
+them, and the share of matched words decides.
+
+Windows are as short as the seeds of a stretch, and seeds of one stretch start at most six words apart: a text that
+reproduces a share s of n words has at least s * n / 6 of the item's windows, so that no case fails for want of windows,
+however its words are altered.
 """
 
 from __future__ import annotations
@@ -14,7 +18,8 @@ from pyspark.sql import functions as F
 
 from quire.llm.text import MIX, broadcast_value, char_tables, codes, groups_by_size, has_text, map_columns, mix, shingle_hashes, spread, word_hashes, word_ranges
 
-SPAN, RADIUS, BLOCKS = 6, 3, 4
+SPAN, RADIUS, BLOCKS = 3, 3, 4
+GAP = 4  # altered words in a row that a stretch may hold, and one
 BLOCK_ITEMS = 10_000  # items of one broadcast index; more are taken in blocks
 DIVIDED = r"(?<=[\p{L}\p{N}])[-‐­¬]\s*\n\s*(?=[\p{L}\p{N}])"
 
@@ -66,12 +71,15 @@ class Index:
                 order = np.argsort(v, kind="stable")
                 tables.append((order, np.concatenate([[0], np.cumsum(np.bincount(v, minlength=1 << 16))])))
             self.by_span[span] = (fp, item, tables)
+        self.size = np.array([len(w) for w in self.words])
 
-    def hits(self, words: np.ndarray) -> list[int]:
-        """Items with a fingerprint within RADIUS of one of the text's windows."""
-        out: set[int] = set()
+    def hits(self, words: np.ndarray, least: float = 0.5) -> list[int]:
+        """Items of which the text may reproduce the share `least`: fingerprints of enough of their windows are within
+        RADIUS of windows of the text."""
+        out: list[int] = []
         for span, (fp, item, tables) in self.by_span.items():
             q = simhashes(words, span)
+            met: list[np.ndarray] = []
             for b, (order, off) in enumerate(tables):
                 v = ((q >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
                 n = off[v + 1] - off[v]
@@ -82,17 +90,20 @@ class Index:
                 at = np.repeat(off[v[on]], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 c = order[at]
                 near = np.bitwise_count(fp[c] ^ np.repeat(q[on], n)) <= RADIUS
-                out.update(item[c[near]].tolist())
+                met.append(c[near])
+            if met:
+                windows = np.bincount(item[np.unique(np.concatenate(met))], minlength=len(self.size))
+                out += np.flatnonzero((windows > 0) & (windows * (SPAN - 1 + GAP) >= least * self.size)).tolist()
         return sorted(out)
 
 
-def share(item: np.ndarray, text: np.ndarray, least_words: int = 5, gap: int = 4) -> float:
+def share(item: np.ndarray, text: np.ndarray, least_words: int = 5, gap: int = GAP) -> float:
     """Share of the item's words that the text reproduces in stretches of the item's order.
 
     A stretch follows one offset between item and text; it may hold up to gap - 1 altered words in a row, and counts
     from least_words matching words on (from all, in an item that has fewer).
     """
-    k = min(3, len(item))
+    k = min(SPAN, len(item))
     if len(text) < k or not k:
         return 0.0
     a, b = shingle_hashes(item, k), shingle_hashes(text, k)
@@ -144,7 +155,7 @@ def found(docs: DataFrame, items: DataFrame, least: float = 0.5) -> DataFrame:
                 part_ids, part_texts = ids[a : a + 256], texts[a : a + 256].to_pylist()
                 for lo, hi in groups_by_size(part_texts):
                     for doc, w in zip(part_ids[lo:hi], words_of(part_texts[lo:hi])):
-                        for k in index.hits(w):
+                        for k in index.hits(w, least):
                             s = share(index.words[k], w)
                             if s >= least - 1e-12:
                                 got["doc_id"].append(doc)

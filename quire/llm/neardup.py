@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.text import MIX, char_tables, codes, groups_by_size, has_text, map_columns, mix, shingle_hashes, spread, word_hashes, word_ranges
+from quire.llm.text import MIX, has_text, map_columns, mix, shingle_sets, spread
 from quire.session import dropped, written
 
 BANDS, ROWS = 48, 5
@@ -24,23 +24,6 @@ CELL = 200  # texts in a cell that one task joins
 PIVOTS = 12
 
 
-def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of the k-word shingles of each text."""
-    lower, kinds = char_tables()
-    out = []
-    for lo, hi in groups_by_size(texts):
-        part = texts[lo:hi]
-        a = codes("\n".join(part))
-        low, kind = lower[a], kinds[a]
-        start, end = word_ranges(kind)
-        h = word_hashes(low, start, end)
-        first = np.cumsum([0] + [len(t) + 1 for t in part])
-        at = np.searchsorted(start, first)
-        for i in range(len(part)):
-            out.append(np.unique(shingle_hashes(h[at[i] : at[i + 1]], k)))
-    return out
-
-
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(20240229)
     n = BANDS * ROWS

@@ -1,6 +1,6 @@
 """Problem 8: whole items into containers of fixed capacity with little unused room.
 
-Method: minimum bin slack. A container opens with the longest item left; a bitset subset-sum over a window of the
+Method: minimum bin slack. A container opens with the longest item left; a bitset subset-sum over the
 remaining lengths then finds the multiset that fills it closest to capacity, and counts are backtracked from the layers.
 Items are spread over chunks by hash, so that every task packs a bounded number of items, whatever the table's size.
 """
@@ -15,40 +15,41 @@ from pyspark.sql import functions as F
 
 from quire.llm import tokens
 
-WINDOW = 24  # lengths that the subset-sum looks at
 CHUNK_ITEMS = 40_000
 SCHEMA = "pack_id bigint, container bigint, doc_id bigint, start bigint, n_tokens bigint"
 
 
 def fill(lengths: list[int], counts: dict[int, int], room: int) -> list[int]:
-    """Lengths, taken from sorted distinct `lengths` with `counts`, whose sum comes closest to room from below."""
+    """Lengths, taken from sorted distinct `lengths` with `counts`, whose sum comes closest to room from below.
+
+    All lengths and all their copies take part: copies are put together by powers of two, so that n of them are
+    log2(n) layers. The search ends early only where room is filled exactly.
+    """
     hi = bisect_right(lengths, room)
     if not hi:
         return []
     if lengths[hi - 1] == room:
         return [room]
-    half = WINDOW // 2
-    look = lengths[max(0, hi - half) : hi]
-    rest = hi - len(look)
-    if rest > 0:
-        look = [lengths[i * rest // half] for i in range(min(half, rest))] + look
-    mask = (1 << (room + 1)) - 1
+    mask, goal = (1 << (room + 1)) - 1, 1 << room
     layers, reach = [], 1
-    goal = 1 << room
-    for v in sorted(set(look), reverse=True):
-        for _ in range(min(counts[v], room // v, 3)):
-            new = (reach | reach << v) & mask
+    for v in reversed(lengths[:hi]):
+        left, k = min(counts[v], room // v), 1
+        while left and not reach & goal:
+            n = min(k, left)
+            new = (reach | reach << v * n) & mask
             if new != reach:
-                layers.append((v, reach))
+                layers.append((v, n, reach))
                 reach = new
+            left -= n
+            k *= 2
         if reach & goal:
             break
     s = reach.bit_length() - 1
     out = []
-    for v, before in reversed(layers):
+    for v, n, before in reversed(layers):
         if not before >> s & 1:
-            out.append(v)
-            s -= v
+            out += [v] * n
+            s -= v * n
     return out
 
 

@@ -134,7 +134,7 @@ def test_leak_share_and_index():
         altered = [("zz" if i % 9 == 8 else v) for i, v in enumerate(w)]
         for text, want in ((" ".join(half).upper(), True), (" ".join(altered), True), (" ".join(w[:15]), False)):
             t = leak.words_of([text])[0]
-            assert k in ix.hits(t) and (leak.share(hashed[k], t) >= 0.5) is want
+            assert (k in ix.hits(t) and leak.share(hashed[k], t) >= 0.5) is want
     assert leak.share(hashed[0], np.zeros(0, np.uint64)) == 0
 
 
@@ -274,3 +274,65 @@ def test_abuse_without_positive_labels_keeps_the_prior():
     m = abuse.train([(0, "the old house")])
     got = abuse.score_texts(["you pathetic idiot, choke", "the old house", "***", "x"], m)
     assert [bool(g[1]) for g in got] == [True, False, False, False]
+
+
+def test_packing_uses_all_copies_and_lengths():
+    assert sum(packing.fill([7], {7: 50}, 343)) == 343
+    assert sum(packing.fill([6, 10], {6: 9, 10: 30}, 299)) == 298
+    rng = random.Random(3)
+    for _ in range(40):
+        counts = {v: rng.randint(1, 9) for v in rng.sample(range(2, 40), 6)}
+        room, sums = rng.randint(30, 250), {0}
+        for v, n in counts.items():
+            sums = {s + v * k for s in sums for k in range(n + 1)}
+        got = packing.fill(sorted(counts), counts, room)
+        assert sum(got) == max(s for s in sums if s <= room) and all(got.count(v) <= n for v, n in counts.items())
+
+
+def test_leak_index_keeps_every_case():
+    """Every altered copy that the exact share accepts has windows enough, down to every fourth word altered."""
+    rng = random.Random(16)
+    vocab = [f"word{i}" for i in range(300)]
+    items = leak.words_of([" ".join(rng.choice(vocab) for _ in range(rng.randint(20, 90))) for _ in range(60)])
+    ix = leak.Index(list(enumerate(items)))
+    cases = 0
+    for every in (4, 5, 6, 7, 9):
+        for k, w in enumerate(items):
+            t = w.copy()
+            t[rng.randrange(every) :: every] = leak.words_of(["other"])[0][0]
+            t = np.concatenate([leak.words_of(["before it"])[0], t[: rng.randint(len(t) // 2, len(t))]])
+            if leak.share(w, t) >= 0.5:
+                cases += 1
+                assert k in ix.hits(t)
+    assert cases > 150
+
+
+def test_repair_lowers_the_word_error_rate():
+    """Clean paragraphs with words divided, pulled apart and misread: most errors are gone after the repair."""
+    rng = random.Random(21)
+    d = decoder()
+
+    def spoil(w):
+        x = rng.random()
+        if x < 0.08 and len(w) > 5:
+            k = rng.randint(2, len(w) - 3)
+            return w[:k] + "-\n" + w[k:]
+        if x < 0.12 and len(w) > 5:
+            k = rng.randint(2, len(w) - 3)
+            return w[:k] + " " + w[k:]
+        if x < 0.20 and len(w) > 4:
+            for a, b in rng.sample([("o", "0"), ("l", "1"), ("i", "1"), ("e", "■"), ("n", "ri"), ("m", "rn")], 6):
+                if a in w[1:-1]:
+                    return w[0] + w[1:-1].replace(a, b, 1) + w[-1]
+        return w
+
+    wrong = [0, 0]
+    for _ in range(40):
+        clean = " ".join(sentence("eng_Latn", rng) for _ in range(4))
+        read = " ".join(map(spoil, clean.split()))
+        for n, text in enumerate((read, scan.repaired(read, None, d))):
+            a, b = clean.split(), text.split()
+            # words that are not there, by multiset
+            wrong[n] += len(a) - sum(min(a.count(w), b.count(w)) for w in set(a))
+    print(wrong)
+    assert wrong[0] > 150 and wrong[1] < 0.25 * wrong[0]
