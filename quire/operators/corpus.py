@@ -181,11 +181,20 @@ def dataset_stats(df: DataFrame, value: str, by: Iterable[str] = (), bins: int =
     return g.agg(F.count(v).alias("n"), d(F.avg(v)).alias("mean"), d(F.median(v)).alias("median"), d(F.stddev_samp(v)).alias("std"), F.array(*hist).alias("histogram"))
 
 
-def publish(docs: DataFrame) -> DataFrame:
-    """The published columns of a document."""
+def publish(docs: DataFrame, page_lid: DataFrame | None = None) -> DataFrame:
+    """The seventeen published columns of a document; the page languages are null where page_lid is not given or has none."""
+    if page_lid is not None:
+        p = page_lid.groupBy("doc_id", "page_no").agg(F.max_by("best_lang", F.struct(F.coalesce("best_score", F.lit(-1.0)), "best_lang")).alias("l"))
+        per_page = p.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "l"))), lambda x: x["l"]).alias("_pages"))
+        average = page_language_average(page_lid).select("doc_id", F.col("best_lang").alias("_lang"), F.col("best_score").alias("_score"))
+        docs = docs.join(per_page.join(average, "doc_id"), "doc_id", "left")
+    else:
+        docs = docs.withColumns({"_pages": F.lit(None).cast("array<string>"), "_lang": F.lit(None).cast("string"), "_score": F.lit(None).cast("double")})
+    known = F.when(~F.col("lang").isin("", "und", "unknown"), F.col("lang"))
     return docs.select(
         "text", F.md5(F.concat_ws("|", "url", "file_path", F.col("record_offset").cast("string"))).alias("id"), F.coalesce("dump", R.dump_of(F.col("file_path"))).alias("dump"), "url", F.col("fetch_time").alias("date"), "file_path",
-        F.col("record_offset").alias("offset"), "token_count", F.col("lang").alias("language"), F.col("lang_score").alias("page_average_lid_score"), "is_truncated", "extractor", "page_ends",
+        F.col("record_offset").alias("offset"), "token_count", F.coalesce(known, "_lang").alias("language"), F.col("_lang").alias("page_average_lid"), F.round("_score", 6).alias("page_average_lid_score"),
+        F.col("lang").alias("full_doc_lid"), F.col("lang_score").alias("full_doc_lid_score"), F.col("_pages").alias("per_page_languages"), "is_truncated", "extractor", "page_ends",
     )
 
 

@@ -224,9 +224,14 @@ def dataset_stats(spark, d):
     return C.dataset_stats(table(spark, d, "documents").select("source", (F.col("score") / 5).alias("v")), "v", ["source"])
 
 
-@query("SELECT text, md5(concat_ws('|', url, file_path, CAST(record_offset AS VARCHAR))) AS id, coalesce(dump, nullif(regexp_extract(file_path, 'crawl=(.*?)/', 1), ''), nullif(regexp_extract(file_path, 'crawl-data/(.*?)/', 1), '')) AS dump, url, fetch_time AS date, file_path, record_offset AS \"offset\", token_count, lang AS language, lang_score AS page_average_lid_score, is_truncated, extractor, page_ends FROM documents")
+@query(
+    "WITH q AS (SELECT DISTINCT doc_id, page_no, best_lang, best_score FROM page_lid), p AS (SELECT doc_id, page_no, first(best_lang) AS l, first(best_score) AS s FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY coalesce(best_score, -1) DESC, best_lang DESC) AS k FROM q) WHERE k = 1 GROUP BY doc_id, page_no), "
+    "n AS (SELECT doc_id, count(*) AS n, list(l ORDER BY page_no) AS pages FROM p GROUP BY doc_id), k AS (SELECT p.doc_id, l, sum(s) / any_value(n) AS a FROM p JOIN n ON n.doc_id = p.doc_id WHERE l <> 'unknown' AND s IS NOT NULL GROUP BY p.doc_id, l HAVING sum(s) / any_value(n) > 0.01), "
+    "b AS (SELECT n.doc_id, pages, coalesce(k.l, 'unknown') AS l, coalesce(k.a, 0) AS a FROM n LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC, l DESC) AS r FROM k) k ON k.doc_id = n.doc_id AND k.r = 1) "
+    "SELECT text, md5(concat_ws('|', url, file_path, CAST(record_offset AS VARCHAR))) AS id, coalesce(dump, nullif(regexp_extract(file_path, 'crawl=(.*?)/', 1), ''), nullif(regexp_extract(file_path, 'crawl-data/(.*?)/', 1), '')) AS dump, url, fetch_time AS date, file_path, record_offset AS \"offset\", token_count, coalesce(CASE WHEN lang NOT IN ('', 'und', 'unknown') THEN lang END, b.l) AS language, b.l AS page_average_lid, round(b.a, 6) AS page_average_lid_score, lang AS full_doc_lid, lang_score AS full_doc_lid_score, b.pages AS per_page_languages, is_truncated, extractor, page_ends FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id"
+)
 def publish(spark, d):
-    return C.publish(table(spark, d, "documents"))
+    return C.publish(table(spark, d, "documents"), table(spark, d, "page_lid"))
 
 
 @query("SELECT doc_id, regexp_replace(regexp_replace(text, '</?docling_(?:formula|image|picture_annotation(?:_non_text)?|page_number|table)>', '', 'g'), '\\n+', chr(10), 'g') AS text FROM documents WHERE text IS NOT NULL")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quire.plans import corpus, pages, relational, structure
+from quire.plans import corpus, pages, records, relational, structure
 
-PARTS = (corpus, pages, structure, relational)
+PARTS = (corpus, pages, structure, records, relational)
 QUERIES: dict = {k: v for p in PARTS for k, v in p.QUERIES.items()}
 SQL: dict[str, str] = {k: v for p in PARTS for k, v in p.SQL.items()}

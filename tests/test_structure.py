@@ -152,3 +152,39 @@ def test_boxes_are_matched_on_every_page(spark):
     assert got == {(0, 0): (0, 1.0), (0, 1): (None, 0.0), (1, 0): (1, 1.0)}
     got = {(r["page_no"], r["level"]): r["score"] for r in E.weighted_match(truth, guess, (0.5,)).collect()}
     assert got == {(0, 0.5): 0.5, (1, 0.5): 1.0}
+
+
+def test_records(spark):
+    from quire.operators import records as K
+
+    df = spark.createDataFrame([(1, (2, "x"), None), (2, None, bytearray(b"a"))], "id int, meta struct<a:int,big:string>, media_bytes binary")
+    assert K.without_field(df, "meta", "big").schema["meta"].dataType.names == ["a"] and K.without_field(df, "meta", "no").columns == df.columns == K.without_field(df, "no", "big").columns
+    assert [r["route"] for r in K.fetched(df).orderBy("id").collect()] == ["failed", "fetched"]
+    n = spark.range(4000).select(F.col("id"))
+    assert abs(K.sampled(n, 0.25, "id").count() - 1000) < 120 and K.sampled(n, 0, "id").count() == 0 and K.sampled(n, 1, "id").count() == 4000
+    assert K.repeated(n.limit(3), 2).count() == 6 and K.repeated(n.limit(3), 0).count() == 0
+    assert K.target_column(["x", "labels", "ocr_quality_score"]) == "ocr_quality_score" and K.target_column(["y", "x"], "x") == "x"
+    with pytest.raises(ValueError):
+        K.target_column(["x"])
+    lines = spark.createDataFrame([(["the coun-", "cil – “met” ", None, "", "on-", "_x", "a•b"],), ([],), (None,)], "l array<string>")
+    assert [r[0] for r in lines.select(K.joined_cells(F.col("l"))).collect()] == ['the council – "met" on-_x a·b', "", None]
+    t = spark.createDataFrame([("abcdef ghi",), ("abcdefghi",), ("ab",), (None,)], "t string")
+    assert [r[0] for r in t.select(K.capped(F.col("t"), 4)).collect()] == ["abcdef", "abcd", "ab", None]
+    assert K.chunks_of("one two three four", K.Words(), 2, 100) == ("one", None)
+    top, bottom = K.chunks_of("aa bb cc dd " * 20, K.Words(), 3, 30)
+    assert top == "aa bb" and bottom == "cc dd " or bottom.endswith("dd ")
+
+
+def test_tree_edits(spark):
+    from quire.operators import records as K
+
+    rows = [(1, 0, None, 0, "heading", "h"), (1, 1, 0, 1, "list", ""), (1, 2, 1, 2, "item", "a"), (1, 3, 0, 3, "text", "z"), (2, 0, None, 0, "text", "o")]
+    n = spark.createDataFrame(rows, "doc_id int, node_id int, parent_id int, seq int, kind string, text string")
+    new = spark.createDataFrame([(1, 1, "text", "new"), (2, None, "text", "end"), (1, 77, "text", "lost")], "doc_id int, sibling int, kind string, text string")
+    got = {d: [r["text"] for r in K.inserted(n, new).where(F.col("doc_id") == d).orderBy("seq").collect()] for d in (1, 2)}
+    assert got == {1: ["h", "", "a", "new", "z"], 2: ["o", "end"]}
+    assert [r["text"] for r in K.inserted(n, new, True).where("doc_id = 1").orderBy("seq").collect()] == ["h", "new", "", "a", "z"]
+    swap = spark.createDataFrame([(1, 3, None, "Z")], "doc_id int, node_id int, kind string, text string")
+    assert [(r["kind"], r["text"]) for r in K.replaced(n, swap).where("node_id = 3").collect()] == [("text", "Z")]
+    deep = spark.createDataFrame([(1, i, i - 1 if i else None, i, "text", str(i)) for i in range(100)] + [(1, 100, None, 100, "text", "kept")], "doc_id int, node_id int, parent_id int, seq int, kind string, text string")
+    assert [r["text"] for r in X.without(deep, deep.where("node_id = 0")).collect()] == ["kept"]
