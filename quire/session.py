@@ -31,10 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir of the session, own folder only where unset."""
+    """The folder that all executors share: spark.checkpoint.dir of the session. Only a local session, whose executors
+    share this machine, gets a folder of its own where that is unset; a cluster without it is an error."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not at:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="quire-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)
         sc.setCheckpointDir(at)
