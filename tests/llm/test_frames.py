@@ -122,3 +122,13 @@ def test_leak_frame(spark):
     d = spark.createDataFrame([(1, "Some words. Alpha beta gam-\nma delta epsilon zeta eta theta iota kappa. End"), (2, "alpha beta gamma only")], "doc_id bigint, text string")
     items = spark.createDataFrame([(7, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id bigint, passage string")
     assert [tuple(r) for r in leak.found(d, items).collect()] == [(1, 7, 1.0)]
+
+
+@pytest.mark.skipif(not __import__("os").path.exists("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_all_queries_run(spark):
+    from quire.llm import queries
+
+    for name, q in queries.QUERIES.items():
+        df = q(spark, "/root/testdata/sf0.001")
+        assert len(set(df.columns)) == len(df.columns), name
+        df.write.format("noop").mode("overwrite").save()
