@@ -171,14 +171,42 @@ def class_metrics(pred: DataFrame, truth: str, guess: str, low: int = 0, high: i
     return x.agg(F.round(F.sum("hit") / F.sum("true"), 6).alias("accuracy"), F.round(F.avg("p"), 6).alias("macro_precision"), F.round(F.avg("r"), 6).alias("macro_recall"), F.round(F.avg("f"), 6).alias("macro_f1"))
 
 
+def _group_keys(by: list[str]) -> dict[str, Column]:
+    """Keys that join null groups, too; one constant where there are no groups."""
+    return {f"_k{i}": F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for i, c in enumerate(by)} or {"_k0": F.lit("")}
+
+
+def medians(df: DataFrame, value: str, by: list[str], slots: int = 4096) -> DataFrame:
+    """(_k0 ..., median), keys as strings: exact medians without a group in one task. A histogram of each group names the slots of its two
+    middle ranks; of these slots alone values are counted, equal ones together. NaN and null values are left out."""
+    keys = _group_keys(by)
+    names = list(keys)
+    x = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*[k.alias(n) for n, k in keys.items()], F.col(value).cast("double").alias("_v"))
+    g = x.groupBy(*names).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    x = x.join(g, names).withColumn("_s", F.coalesce(F.least(F.floor(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * slots), F.lit(slots - 1)), F.lit(0)))
+    h = x.groupBy(*names, "_s", "_n").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*names).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    h = h.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    low, high = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    h = h.where(((low > F.col("_before")) & (low <= F.col("_before") + F.col("_c"))) | ((high > F.col("_before")) & (high <= F.col("_before") + F.col("_c")))).select(*names, "_s", "_before")
+    v = x.join(h, [*names, "_s"]).groupBy(*names, "_s", "_before", "_n", "_v").agg(F.count("*").alias("_c"))
+    inside = Window.partitionBy(*names, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    v = v.withColumn("_to", F.col("_before") + F.sum("_c").over(inside)).withColumn("_from", F.col("_to") - F.col("_c"))
+    at = lambda r: F.max(F.when((r > F.col("_from")) & (r <= F.col("_to")), F.col("_v")))
+    return v.groupBy(*names).agg(((at(low) + at(high)) / 2).alias("median"))
+
+
 def dataset_stats(df: DataFrame, value: str, by: Iterable[str] = (), bins: int = 20) -> DataFrame:
     """Count, mean, median, sample deviation and a histogram over [0, 1] of a column; -1 where nothing is there."""
+    by = list(by)
     v = F.col(value)
     slot = F.least(F.greatest(F.floor(v * bins), F.lit(0)), F.lit(bins - 1))
     hist = [F.count_if(v.isNotNull() & (slot == i)) for i in range(bins)]
-    g = df.groupBy(*by) if by else df.groupBy()
     d = lambda x: F.round(F.coalesce(x, F.lit(-1.0)), 6)
-    return g.agg(F.count(v).alias("n"), d(F.avg(v)).alias("mean"), d(F.median(v)).alias("median"), d(F.stddev_samp(v)).alias("std"), F.array(*hist).alias("histogram"))
+    g = (df.groupBy(*by) if by else df.groupBy()).agg(F.count(v).alias("n"), d(F.avg(v)).alias("mean"), d(F.stddev_samp(v)).alias("std"), F.array(*hist).alias("histogram"))
+    m = medians(df, value, by)
+    keys = _group_keys(by)
+    return g.withColumns(keys).join(m, list(keys), "left").select(*by, "n", "mean", d(F.col("median")).alias("median"), "std", "histogram")
 
 
 def publish(docs: DataFrame, page_lid: DataFrame | None = None) -> DataFrame:

@@ -200,11 +200,9 @@ def markdown_nodes(spark, d):
     return _nodes(spark, d)
 
 
-@query("SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^#{1,6}\\s+'))) AS BIGINT) AS headings FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '(?m)^(<(?:div|table|p|section|ul|ol|h[1-6])\\b|\\s*```)') AND len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^#{1,6}\\s+'))) > 0")
+@query("SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^#{1,6}\\s+'))) AS BIGINT) AS headings FROM documents WHERE text IS NOT NULL AND len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^#{1,6}\\s+'))) > 0")
 def heading_counts(spark, d):
-    plain = table(spark, d, "documents").where(~F.col("text").rlike(r"(?m)^(<(?:div|table|p|section|ul|ol|h[1-6])\b|\s*```)"))
-    n = S.nodes(plain.select("doc_id", F.col("text").alias("content")), "markdown")
-    return n.where("kind IN ('title', 'heading')").groupBy("doc_id").agg(F.count("*").alias("headings"))
+    return _nodes(spark, d).where("kind IN ('title', 'heading')").groupBy("doc_id").agg(F.count("*").alias("headings"))
 
 
 @query()
@@ -261,7 +259,7 @@ def table_triplets(spark, d):
 
 @query()
 def table_structure_score(spark, d):
-    t = _nodes(spark, d).where("kind = 'table' AND size(rows) BETWEEN 2 AND 12").select("doc_id", "node_id", "rows", F.slice("rows", F.lit(1), F.size("rows") - 1).alias("guess"))
+    t = _nodes(spark, d).where("kind = 'table' AND size(rows) >= 2").select("doc_id", "node_id", "rows", F.slice("rows", F.lit(1), F.size("rows") - 1).alias("guess"))
     u = F.udf(lambda a, b: round(E.teds(a, b), 6), "double", useArrow=True)
     return t.select("doc_id", "node_id", u("rows", "guess").alias("teds"))
 
@@ -387,10 +385,11 @@ def merged_strips(spark, d):
     return T.merge_strips(c)
 
 
-@query("SELECT doc_id, page_no FROM page_lid WHERE best_lang = 'eng_Latn'")
+@query(f"SELECT l.doc_id, l.page_no, CAST(length(p.text) AS BIGINT) AS chars FROM page_lid l JOIN {PAGES} p ON p.doc_id = l.doc_id AND p.page_no = l.page_no WHERE l.best_lang = 'eng_Latn'")
 def language_check_requests(spark, d):
-    p = table(spark, d, "page_lid").withColumn("text", F.lit("some text"))
-    return T.check_requests(p, F.col("best_lang"), F.col("text"), "eng_Latn").select("doc_id", "page_no")
+    p = table(spark, d, "page_lid").join(C.page_rows(table(spark, d, "documents")), ["doc_id", "page_no"])
+    x = T.check_requests(p, F.col("best_lang"), F.col("text"), "eng_Latn")
+    return x.select("doc_id", "page_no", F.length("text").cast("bigint").alias("chars"))
 
 
 @query("SELECT doc_id, num_pages, CAST(c AS BIGINT) AS copy FROM (SELECT doc_id, num_pages, unnest(range(1, CAST(greatest(coalesce(num_pages, 0) // 32, 1) AS BIGINT) + 1)) AS c FROM ocr_routing)")
