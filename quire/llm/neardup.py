@@ -300,7 +300,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         s2 = down.join(low2, "a")
         e3 = s2.select(F.col("a"), F.col("low").alias("b")).union(s2.select(F.col("b").alias("a"), F.col("low").alias("b"))).where(F.col("a") != F.col("b")).distinct()
         new = written(e3)
-        if new.select("a", "b").exceptAll(e.select("a", "b")).limit(1).count() == 0 and e.select("a", "b").exceptAll(new).limit(1).count() == 0:
+        same = new.select("a", "b").exceptAll(e.select("a", "b")).limit(1).count() == 0 and e.select("a", "b").exceptAll(new).limit(1).count() == 0
+        dropped(new if same else e)
+        if same:
             break
         e = new
     label = e.groupBy("a").agg(F.min("b").alias("class_id"))
